@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lexloom.llm import tokenize
+from lexloom.llm import leakage, tokenize
 
 
 def queries():
     return {
         "p6_ids": tokenize.p6_ids,
         "p6_roundtrip": tokenize.p6_roundtrip,
+        "p7_found": leakage.p7_found,
     }
 
 
