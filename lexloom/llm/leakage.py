@@ -29,6 +29,7 @@ from lexloom.sources.tables import table
 WIDTH = 12
 BROADCAST_WINDOWS = 400_000
 BITMAP_BITS = 20
+BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
 _POWERS = [np.ones(1, dtype=_U)]
@@ -69,17 +70,18 @@ class Words:
         else:
             self.start = self.end = np.zeros(0, np.int64)
         self.doc = np.searchsorted(ends, self.start, side="right")
-        if len(self.start):
-            place = np.arange(len(data), dtype=np.int64)
-            owner = np.repeat(np.arange(len(self.start)), self.end - self.start)
-            inside = np.concatenate([[0], np.cumsum(self.end - self.start)])
-            k = np.arange(inside[-1]) - inside[owner]
-            at = self.start[owner] + k
-            terms = (data[at].astype(_U) + _U(1)) * _powers(int((self.end - self.start).max()) + 1)[k]
-            del place
-            self.hash = _mix(np.add.reduceat(terms, inside[:-1]))
-        else:
-            self.hash = np.zeros(0, dtype=_U)
+        self.hash = np.empty(len(self.start), dtype=_U)
+        upto = np.concatenate([[0], np.cumsum(self.end - self.start)])
+        lo = 0
+        while lo < len(self.start):  # blocks of about 1 MB keep the temporaries small
+            hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + BLOCK_BYTES, side="right")) - 1)
+            size = self.end[lo:hi] - self.start[lo:hi]
+            inside = upto[lo:hi] - upto[lo]
+            k = np.arange(int(size.sum())) - np.repeat(inside, size)
+            at = np.repeat(self.start[lo:hi], size) + k
+            terms = (data[at].astype(_U) + _U(1)) * _powers(int(size.max()) + 1)[k]
+            self.hash[lo:hi] = _mix(np.add.reduceat(terms, inside))
+            lo = hi
 
     def phrase(self, first: int, width: int) -> bytes:
         return self.buffer[self.start[first] : self.end[first + width - 1]]
@@ -152,6 +154,21 @@ def edit_distance(a: list[bytes], b: list[bytes], most: int) -> int:
     return row[-1]
 
 
+def text_blocks(batch, chars: int = BLOCK_BYTES):
+    """The (ids, texts) of an Arrow batch in runs of about ``chars`` characters."""
+    ids, texts, n = [], [], 0
+    for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+        t = t.as_py()
+        ids.append(i)
+        texts.append(t)
+        n += len(t or "")
+        if n >= chars:
+            yield ids, texts
+            ids, texts, n = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 class ItemIndex:
     """LSH table of all item windows, with an exact verifier."""
 
@@ -240,9 +257,10 @@ def _search_broadcast(docs: DataFrame, index: ItemIndex) -> DataFrame:
 
         idx = held.value
         for b in batches:
-            ids = b.column(0).to_pylist()
-            words = Words([normal_words(t) for t in b.column(1).to_pylist()])
-            pairs = sorted({(ids[d], item) for d, item in idx.search(words)})
+            pairs = []
+            for ids, texts in text_blocks(b):
+                words = Words([normal_words(t) for t in texts])
+                pairs += sorted({(ids[d], item) for d, item in idx.search(words)})
             if pairs:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
@@ -256,9 +274,9 @@ def _keyed(df: DataFrame, id_col: str, width: int, edits: int, reps: int, sample
     def run(batches):
         import pyarrow as pa
 
-        for b in batches:
-            ids = np.array(b.column(0).to_pylist(), dtype=np.int64)
-            words = Words([normal_words(t) for t in b.column(1).to_pylist()])
+        for ids, texts in (block for b in batches for block in text_blocks(b)):
+            ids = np.array(ids, dtype=np.int64)
+            words = Words([normal_words(t) for t in texts])
             first = windows(words, width)
             keys = lsh_keys(words.hash, first, width, edits, reps, sampled)
             phrases = pa.array([words.phrase(int(f), width) for f in first], pa.binary())
