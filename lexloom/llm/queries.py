@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from lexloom.llm import leakage, tokenize
+from lexloom.llm import formatting_copies, groups, leakage, lookalikes, tokenize
 
 
 def queries():
     return {
+        "p2_found": lookalikes.p2_found,
+        "p2_forms": lookalikes.p2_forms,
+        "p3_found": formatting_copies.p3_found,
+        "p3_collapsed": formatting_copies.p3_collapsed,
+        "p4_found": groups.p4_found,
         "p6_ids": tokenize.p6_ids,
         "p6_roundtrip": tokenize.p6_roundtrip,
         "p7_found": leakage.p7_found,
@@ -14,4 +19,4 @@ def queries():
 
 
 def oracle_sql():
-    return {}
+    return {**formatting_copies.SQL}
