@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from lexloom.sources import rejects
+
 
 def queries():
-    return {}
+    return {
+        "p5_found": rejects.p5_found,
+        "p5_entries": rejects.p5_entries,
+    }
 
 
 def oracle_sql():
-    return {}
+    return {**rejects.SQL}
