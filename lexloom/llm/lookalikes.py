@@ -46,7 +46,7 @@ SAME_SHAPE = (
 #: Kinds of hyphen.
 HYPHENS = "-˗‐‑‒–⁃−﹘﹣－"
 
-_GONE = re.compile(f"[{INVISIBLE}͏︀-️\U000e0000-\U000e0fff]")
+_GONE = re.compile(f"[{INVISIBLE}\u034f\ufe00-\ufe0f\U000e0000-\U000e0fff]")
 _BLANKS = re.compile(r"[^\S\n]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Decomposition types that change nothing but width, shaping of a ligature, or breaking.
@@ -113,8 +113,8 @@ def resolve_token(token: str) -> tuple[str, str]:
     return out, "single" if out == token else "mixed"
 
 
-_RUNS = re.compile(r"(?:[^\W\d_][̀-ͯ]*)+")
-_MARK = re.compile(r"[̀-ͯ]+")
+_RUNS = re.compile(r"(?:[^\W\d_][\u0300-\u036f]*)+")
+_MARK = re.compile(r"[\u0300-\u036f]+")
 
 
 def consistent_form(text: str) -> str:
@@ -133,7 +133,7 @@ def consistent_form(text: str) -> str:
             token = m.group()
             bare = _MARK.sub("", token)
             spelled = iter(resolve_token(bare)[0])
-            return "".join(c if "̀" <= c <= "ͯ" else next(spelled) for c in token)
+            return "".join(c if "\u0300" <= c <= "\u036f" else next(spelled) for c in token)
 
         return unicodedata.normalize("NFC", _RUNS.sub(run, s))
     return _LETTERS.sub(lambda m: resolve_token(m.group())[0], s)
