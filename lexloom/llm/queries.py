@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexloom.llm import formatting_copies, groups, leakage, lookalikes, tokenize
+from lexloom.llm import formatting_copies, groups, leakage, lookalikes, quality, tokenize
 
 
 def queries():
@@ -15,6 +15,8 @@ def queries():
         "p6_ids": tokenize.p6_ids,
         "p6_roundtrip": tokenize.p6_roundtrip,
         "p7_found": leakage.p7_found,
+        "p8_found": quality.p8_found,
+        "p8_stats": quality.p8_stats,
     }
 
 
