@@ -57,6 +57,19 @@ class RuleList:
             free &= ~hit
         return out
 
+    def column(self, row):
+        """The CASE of :meth:`sql` over the fields of a struct column."""
+        from pyspark.sql import functions as F
+
+        out = None
+        for r in self.rules:
+            test = F.lit(True)
+            for c in r.conditions:
+                v = row[c.feature]
+                test = test & ((v >= F.lit(c.threshold)) if c.above else (v < F.lit(c.threshold)))
+            out = F.when(test, F.lit(r.label)) if out is None else out.when(test, F.lit(r.label))
+        return F.lit(self.default) if out is None else out.otherwise(F.lit(self.default))
+
     def sql(self) -> str:
         """The list as one CASE expression over columns named like the features."""
         if not self.rules:

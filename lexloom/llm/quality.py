@@ -29,6 +29,16 @@ def _lines(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"[\r\n]+"), F.trim), lambda x: x != "")
 
 
+def _bind(fields: dict[str, Column], body) -> Column:
+    """``body`` of the fields, each evaluated once.
+
+    The optimizer merges neighbouring projections and would repeat an expression at every
+    use; a lambda variable is a value, so what it holds is computed one time per row.
+    """
+    row = F.struct(*[v.alias(k) for k, v in fields.items()])
+    return F.transform(F.array(row), body)[0]
+
+
 def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part.cast("double") / whole).otherwise(F.lit(0.0))
 
@@ -57,39 +67,23 @@ FEATURES = (
 )
 
 
-def text_statistics(df: DataFrame, common: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col`` and per-document statistics, one row per input row.
-
-    ``word_count``, ``mean_word_length`` (characters), ``symbol_ratio`` (characters that are
-    neither letters, digits, blanks nor ordinary punctuation), ``end_punct_share`` (lines
-    that end in punctuation), ``common_share`` (words among the common ones), and the
-    further ones named in ``FEATURES``. Null, empty and blank texts have zero counts and
-    shares. Repeated rows stay repeated; other columns are ignored.
-    """
-    t = F.coalesce(F.col("text"), F.lit(""))
-    base = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).select(
-        "id",
-        t.alias("text"),
-        # what is left without letters, digits and blanks is short, so signs are counted there
-        F.regexp_replace(t, r"[\p{L}\p{N}\s\p{Z}]+", "").alias("signs"),
-        _words(t).alias("words"),
-        _lines(t).alias("lines"),
-    ).withColumn("cells", F.transform("lines", lambda s: F.regexp_count(s, F.lit(r"[|;\t,]| {3,}"))))
-    x, signs, n, lines = F.col("text"), F.col("signs"), F.size("words"), F.size("lines")
-    word_chars = F.aggregate("words", F.lit(0), lambda a, w: a + F.length(w))
-    vis = word_chars + F.length(signs)
+def _formulas(q: Column, common: list[str], wanted) -> dict[str, Column]:
+    """The wanted statistics over the parts of a text (see :func:`statistics_of`)."""
+    x, signs, words, text_lines = q["p"]["text"], q["p"]["signs"], q["p"]["words"], q["p"]["lines"]
+    n, lines, chars = q["n"], q["lines"], q["chars"]
+    vis = chars + F.length(signs)
 
     def line_share(pattern: str) -> Column:
-        return _share(F.size(F.filter("lines", lambda s: s.rlike(pattern))), lines)
+        return _share(F.size(F.filter(text_lines, lambda s: s.rlike(pattern))), lines)
 
     def signs_of(pattern: str) -> Column:
         return F.regexp_count(signs, F.lit(pattern))
 
-    common_n = F.size(F.filter("words", lambda w: w.isin(common))) if common else F.lit(0)
+    common_n = F.size(F.filter(words, lambda w: w.isin(common))) if common else F.lit(0)
     stats = {
         "word_count": n,
         "line_count": lines,
-        "mean_word_length": _share(word_chars, n),
+        "mean_word_length": _share(chars, n),
         "symbol_ratio": _share(signs_of(f"[^{_ORDINARY}]"), vis),
         "end_punct_share": line_share(r"[.!?…:;,»”\"')]$"),
         "common_share": _share(common_n, n),
@@ -98,7 +92,7 @@ def text_statistics(df: DataFrame, common: list[str], id_col: str = "doc_id", te
         "marked_line_share": line_share(r"^(?:[*•·–—+-]\s|\[[ xXхХ]?\]|\(?\p{N}{1,4}[.)]\s|\p{L}[.)]\s)"),
         "cell_line_share": line_share(r"\t\S|\S {3,}\S|\|.*\||^[^;]*;[^; ][^;]*;[^; ]|^\+-+\+|^[^,\s]+,[^,\s]+,[^,\s]"),
         "number_end_share": line_share(r"(?:\.{3,}|\s)\s*\p{N}+[|\s]*$"),
-        "distinct_word_rate": _share(F.size(F.array_distinct("words")), F.least(n, F.lit(60))),
+        "distinct_word_rate": _share(F.size(F.array_distinct(words)), F.least(n, F.lit(60))),
         "run_share": _share(F.length(x) - F.length(F.regexp_replace(x, r"(\S)\1{4,}", "")), vis),
         "broken_word_share": _share(
             F.regexp_count(x, F.lit(r"[^\p{L}\p{M}\p{Cf}\s'’ʼ—–.,;:\-|/](?<=\p{L}.)[^\s\p{L}]*\p{L}")), n
@@ -107,15 +101,57 @@ def text_statistics(df: DataFrame, common: list[str], id_col: str = "doc_id", te
         "comma_rate": _share(signs_of(","), n),
         "stop_rate": _share(F.regexp_count(x, F.lit(r"[.!?…](?<=[\p{L}»”\")].)(?=\s|$)")), n),
         "separator_rate": _share(signs_of("[|;]"), n),
-        "short_line_share": _share(F.size(F.filter("lines", lambda s: F.length(s) < 36)), lines),
-        "distinct_line_share": _share(F.size(F.array_distinct("lines")), lines),
+        "short_line_share": _share(F.size(F.filter(text_lines, lambda s: F.length(s) < 36)), lines),
+        "distinct_line_share": _share(F.size(F.array_distinct(text_lines)), lines),
         "same_cells_share": F.when(
-            lines > 1, _share(F.size(F.filter("cells", lambda c: (c > 0) & (c == F.col("cells")[1]))), lines)
+            lines > 1,
+            _bind(
+                {"c": F.transform(text_lines, lambda s: F.regexp_count(s, F.lit(r"[|;\t,]| {3,}")))},
+                lambda r: _share(F.size(F.filter(r["c"], lambda c: (c > 0) & (c == r["c"][1]))), lines),
+            ),
         ).otherwise(F.lit(0.0)),
         "word_digit_share": _share(F.regexp_count(x, F.lit(r"[0-9](?:(?<=\p{L}.)|(?=\p{L}))")), n),
         "words_per_segment": _share(n, signs_of("[,;|.!?…:]") + lines),
     }
-    return base.select(F.col("id").alias(id_col), *[v.alias(k) for k, v in stats.items()])
+    return {k: stats[k] for k in wanted}
+
+
+def statistics_of(text: Column, common: list[str], wanted, body) -> Column:
+    """``body`` of a struct with the ``wanted`` statistics of ``text``; others are not computed."""
+    t = F.coalesce(text.cast("string"), F.lit(""))
+    parts = {
+        "text": t,
+        # what is left without letters, digits and blanks is short, so signs are counted there
+        "signs": F.regexp_replace(t, r"[\p{L}\p{N}\s\p{Z}]+", ""),
+        "words": _words(t),
+        "lines": _lines(t),
+    }
+
+    def sizes(p: Column) -> Column:
+        more = {
+            "p": p,
+            "n": F.size(p["words"]),
+            "lines": F.size(p["lines"]),
+            "chars": F.aggregate(p["words"], F.lit(0), lambda a, w: a + F.length(w)),
+        }
+        return _bind(more, lambda q: _bind(_formulas(q, common, wanted), body))
+
+    return _bind(parts, sizes)
+
+
+def text_statistics(df: DataFrame, common: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col`` and per-document statistics, one row per input row.
+
+    ``word_count``, ``mean_word_length`` (characters), ``symbol_ratio`` (characters that are
+    neither letters, digits, blanks nor ordinary punctuation), ``end_punct_share`` (lines
+    that end in punctuation), ``common_share`` (words among the common ones), and the
+    further ones named in ``FEATURES``. Null, empty and blank texts have zero counts and
+    shares. Repeated rows stay repeated; other columns are ignored.
+    """
+    names = ("word_count", *FEATURES)
+    s = statistics_of(F.col(text_col), common, names, lambda v: v)
+    out = df.select(F.col(id_col), s.alias("s"))
+    return out.select(F.col(id_col), *[F.col(f"s.{n}").alias(n) for n in names])
 
 
 def fit_rules(
@@ -142,24 +178,29 @@ def fit_rules(
     return irep.fit(got[list(FEATURES)].to_numpy(np.float64), got["label"].to_numpy(), list(FEATURES))
 
 
-def document_kinds(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def document_kinds(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", leave_out: str | None = None
+) -> DataFrame:
     """``(id_col, kind)`` of every document that has text, by rules fitted on the labels.
 
     Null, empty and blank texts have no kind and no row. Without any label the result is
-    empty.
+    empty. Documents of the kind ``leave_out`` give no row; they are left out by the
+    generator that evaluates the kind, as a filter would be pushed down and evaluate it again.
     """
     common = common_words(docs, text_col)
     rules = fit_rules(docs, labels, common, id_col=id_col, text_col=text_col)
     texts = docs.where(F.col(text_col).rlike(r"[^\s\p{Z}\p{Cc}\p{Cf}]"))
-    stats = text_statistics(texts, common, id_col, text_col)
-    out = stats.select(id_col, F.expr(rules.sql()).alias("kind"))
+    used = sorted({c.feature for r in rules.rules for c in r.conditions}) or [FEATURES[0]]
+    kind = statistics_of(F.col(text_col), common, used, rules.column)
+    kept = F.filter(F.array(kind), lambda k: k != F.lit(leave_out or ""))
+    out = texts.select(F.col(id_col), F.explode(kept).alias("kind"))
     return out if rules.default else out.limit(0)
 
 
 def p8_found(spark: SparkSession, data_dir: str) -> DataFrame:
     """Documents that are for the most part not natural prose, with their kind."""
-    kinds = document_kinds(table(spark, data_dir, "documents"), table(spark, data_dir, "doc_labels"))
-    return kinds.where("kind <> 'prose'")
+    docs, labels = table(spark, data_dir, "documents"), table(spark, data_dir, "doc_labels")
+    return document_kinds(docs, labels, leave_out="prose")
 
 
 def p8_stats(spark: SparkSession, data_dir: str) -> DataFrame:
