@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from lexloom.llm import formatting_copies, groups, leakage, lookalikes, quality, tokenize
+from lexloom.llm import formatting_copies, groups, leakage, lookalikes, markup, quality, tokenize
 
 
 def queries():
     return {
+        "p1_found": markup.p1_found,
+        "p1_clean": markup.p1_clean,
         "p2_found": lookalikes.p2_found,
         "p2_forms": lookalikes.p2_forms,
         "p3_found": formatting_copies.p3_found,
