@@ -222,10 +222,15 @@ def _costs(text: str, segs: list[Segment]) -> None:
         s.markup, s.content = c
 
 
-def _dropped_inside(s: Segment) -> bool:
-    """Constructs whose inside is no content: templates and references."""
+def _shows_text(body: str) -> bool:
+    """Whether a template of this body shows its last parameter: inline, with unnamed parameters."""
+    return "|" in body and "=" not in body and "\n" not in body
+
+
+def _dropped_inside(text: str, segs: list[Segment], s: Segment) -> bool:
+    """Constructs whose inside is no content: references, and templates that show no text."""
     if s.kind == "wopen":
-        return s.text[0] == "{"
+        return s.text[0] == "{" and not _shows_text(text[s.end : segs[s.mate].start])
     return s.kind == "tag" and _TAG_NAME.match(s.text).group(1).lower() in ("ref", "script", "style", "gallery", "timeline")
 
 
@@ -252,7 +257,7 @@ def _edges(text: str, segs: list[Segment]) -> list[dict[int, int]]:
             last = i
             if 0 <= s.mate < i:
                 tie(s.mate, i, 3)
-        if s.mate > i and _dropped_inside(s):
+        if s.mate > i and _dropped_inside(text, segs, s):
             inside.append(i)
     return near
 
@@ -399,7 +404,7 @@ def clean_text(text: str | None) -> str | None:
         elif k == "wopen":
             if s.mate > i:
                 body = text[s.end : segs[s.mate].start]
-                if t[0] == "{":
+                if t[0] == "{" and not _shows_text(body):
                     skip_until = s.mate
                 elif FILE_LINK.match(body):
                     skip_until = s.mate
