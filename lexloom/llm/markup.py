@@ -53,13 +53,13 @@ _SEGMENT = re.compile(
     |(?P<setext>(?<=\n)(?:={3,}|-{3,})[ \t]*$)
     |(?P<heading>^={1,6}[^=\n](?:[^\n]*[^=\n])?={1,6}[ \t]*$|^[ ]{0,3}\#{1,6}[ \t]+(?=\S))
     |(?P<ruler>^\|?[ ]*:?-{2,}:?[ ]*(?:\|[ ]*:?-{2,}:?[ ]*)+\|?[ \t]*$)
-    |(?P<wtable>^\{\||^\|\}|^\|[-+]|^!(?=[ ]?\S))
+    |(?P<wtable>^\{\|[^\n]*|^\|\}|^\|[-+]|^!(?=[ ]?\S)|^\|(?=[ ])(?![^\n]*\|[ \t]*$))
     |(?P<row>^\|[^\n]*\|[ \t]*$)
     |(?P<cell>\|\|)
     |(?P<list>^[ \t]*(?:[*#]+|[-+]|\d{1,3}[.)])[ \t]+(?=\S)|^[*\#]{1,4}(?=[^\s*\#])(?![^\n]*\*)|^[;:]+[ ]*(?=\S)|^>[ ]?(?=\S))
     |(?P<mdlink>!?\[[^\[\]\n]*\]\([^()\s]*(?:\s"[^"\n]*")?\))
     |(?P<note>\[\^[^\]\s]{1,40}\]:?)
-    |(?P<wopen>\[\[|\{\{\{?)|(?P<wclose>\]\]|\}\}\}?)
+    |(?P<wopen>\[\[|\{\{)|(?P<wclose>\]\]|\}\})
     |(?P<extlink>\[(?:https?|ftp)://[^\s\]]+[^\]\n]*\])
     |(?P<magic>__[A-Z]{3,20}__)
     |(?P<env>\\(?:begin|end)[ ]?\{[A-Za-z]+\*?\})
@@ -180,11 +180,11 @@ def _costs(text: str, segs: list[Segment]) -> None:
             c = _SURE
             if k == "math" and s.mate < 0 or k == "heading" and t.lstrip()[0] == "#" and "\n" not in text:
                 c = _LIKELY
-            elif k == "wtable" and t == "!":
+            elif k == "wtable" and t in ("!", "|"):
                 c = _SURE if "{|" in text else _NONE
             elif k == "wclose" and t[0] == "]" and s.mate < 0 or k == "wopen" and t[0] == "[" and s.mate < 0:
                 c = _LIKELY
-            elif k == "wtable" and t != "{|" and "{|" not in text:
+            elif k == "wtable" and t[0] != "{" and "{|" not in text:
                 c = _LIKELY
         elif k == "tag":
             known = _TAG_NAME.match(t).group(1).lower() in TAGS
