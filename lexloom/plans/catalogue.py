@@ -2,15 +2,414 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from lexloom.functions import native
+from lexloom.functions import patterns as P
+from lexloom.operators import articles, coverage, dedupe, graph, quality
+from lexloom.runtime import Workspace
 from lexloom.sources import rejects
+from lexloom.sources.tables import table
+
+# --- SQL fragments ----------------------------------------------------------------------
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _sql_fold(x: str, dashes: str) -> str:
+    return f"translate({x}, {_q(dashes + native.KEY_BLANKS)}, {_q('-' * len(dashes) + ' ' * len(native.KEY_BLANKS))})"
+
+
+def _sql_collapse(x: str) -> str:
+    return f"trim(regexp_replace({x}, {_q(native.WS)}, ' ', 'g'), ' ')"
+
+
+def _sql_casefold(x: str) -> str:
+    return f"replace(lower({x}), 'ß', 'ss')"
+
+
+def _sql_lookup(x: str) -> str:
+    return f"translate({_sql_casefold(_sql_collapse(_sql_fold(f'nfc_normalize({x})', native.LOOKUP_DASHES)))}, 'ё', 'е')"
+
+
+def _sql_key(x: str) -> str:
+    return _sql_collapse(_sql_fold(f"nfc_normalize({x})", native.KEY_DASHES))
+
+
+def _sql_valid(k: str) -> str:
+    return (
+        f"coalesce(length({k}) > 0 and length({k}) <= {native.MAX_KEY} and not regexp_matches({k}, {_q(chr(92) + 'x00|[' + chr(92) + 'r' + chr(92) + 'n]')})"
+        f" and not starts_with({k}, '-') and not ends_with({k}, '-') and regexp_matches({k}, {_q(native.KEY_LETTER)}), false)"
+    )
+
+
+def _sql_script(t: str) -> str:
+    c, la, g = (f"regexp_matches({t}, {_q(p)})" for p in (native.CYRILLIC, native.LATIN, native.GREEK))
+    return (
+        f"case when {c}::int + {la}::int + {g}::int > 1 then 'mixed' when {c} then 'cyrillic' when {la} then 'latin'"
+        f" when {g} then 'greek' when regexp_matches({t}, '\\p{{L}}') then 'other-alphabet' else 'numeric' end"
+    )
+
+
+_T = f"""
+tok as (
+  select doc_id as doc, unnest(w) as token, generate_subscripts(w, 1) - 1 as pos
+  from (select doc_id, regexp_extract_all(text, {_q(native.TOKEN)}) as w from documents where text is not null)
+), tn as (select doc, pos, token, {_sql_lookup('token')} as normalized from tok)
+"""
+_K = f"""
+rawkeys as (select key as k from links where key is not null union select word from pack_entries where word is not null),
+keys as (select distinct {_sql_lookup('k')} as known from rawkeys where {_sql_lookup('k')} <> '')
+"""
+_C = f"""
+with {_T}, {_K},
+cnt as (select doc, normalized, count(*) as n from tn where regexp_matches(token, '\\p{{L}}') group by all),
+gram as (
+  select a.doc, a.normalized || ' ' || b.normalized as g from tn a join tn b on a.doc = b.doc and b.pos = a.pos + 1
+  union all
+  select a.doc, a.normalized || ' ' || b.normalized || ' ' || c.normalized from tn a
+    join tn b on a.doc = b.doc and b.pos = a.pos + 1 join tn c on a.doc = c.doc and c.pos = a.pos + 2
+  union all
+  select a.doc, a.normalized || ' ' || b.normalized || ' ' || c.normalized || ' ' || d.normalized from tn a
+    join tn b on a.doc = b.doc and b.pos = a.pos + 1 join tn c on a.doc = c.doc and c.pos = a.pos + 2
+    join tn d on a.doc = d.doc and d.pos = a.pos + 3
+),
+part as (select doc, unnest(string_split(g, ' ')) as normalized from gram where g in (select known from keys where contains(known, ' '))),
+cov as (select doc, normalized, count(*) as covered from part group by all),
+counts as (
+  select cnt.doc, cnt.normalized, n, (cnt.normalized in (select known from keys where not contains(known, ' '))) as single_known,
+         coalesce(covered, 0) as covered
+  from cnt left join cov on cnt.doc = cov.doc and cnt.normalized = cov.normalized
+),
+corpus as (
+  select normalized, sum(n) as n, bool_or(single_known) as single_known, sum(covered) as covered from counts group by 1
+),
+unk as (
+  select normalized, cast(case when single_known then 0 else greatest(n - covered, 0) end as bigint) as count from corpus
+)
+"""
+_V = """
+, surf as (
+  select normalized, token, count(*) as n, min((doc, pos)) as first from tn where regexp_matches(token, '\\p{L}') group by 1, 2
+), ranked as (select normalized, token, n, row_number() over (partition by normalized order by n desc, first) as rank from surf)
+"""
+_E = "edges as (select distinct key, lemma from links where key <> '' and lemma <> '')"
+_D = "defined as (select distinct lemma from senses where lemma is not null and definition is not null)"
+
+
+def _sql_like(x: str, p: str) -> str:
+    return f"regexp_matches({x}, {_q('(?i)' + p)})"
+
+
+def _sql_m(x: str, p: str) -> str:
+    return f"regexp_matches({x}, {_q(p)})"
+
+
+def _sql_count(x: str, c: str) -> str:
+    return f"(length({x}) - length(replace({x}, {_q(c)}, '')))"
+
+
+def _sql_flags() -> str:
+    t, low, plain = "text", "low", "plain"
+    edge = f"""({_sql_count(t, '"')} % 2 = 1 and ({_sql_m(t, chr(40) + '?:^|[' + chr(92) + 's.,;:!?)' + chr(92) + ']}])"$')} or {_sql_m(t, '^"(?:$|[' + chr(92) + 'p{L}' + chr(92) + 's])')}))"""
+    for a, b in (("«", "»"), ("„", "“"), ("“", "”"), ("‘", "’")):
+        edge += f" or ({_sql_count(t, a)} > {_sql_count(t, b)} and starts_with({t}, {_q(a)}))"
+        edge += f" or ({_sql_count(t, b)} > {_sql_count(t, a)} and ends_with({t}, {_q(b)}))"
+    flags = {
+        "very_short": "n < 8 and not onomastic and not concise",
+        "very_long": "n > 520",
+        "grammar_residue": " or ".join(_sql_like(t, p) for p in P.FORM_OF),
+        "markup_residue": _sql_like(t, P.MARKUP),
+        "leading_parenthetical": _sql_m(t, P.LEADING_BRACKETS),
+        "vague": _sql_like(t, P.VAGUE),
+        "early_self_reference": "selfref and not concise and not onomastic",
+        "example_residue": _sql_m(t, P.EXAMPLE),
+        "placeholder_definition": "n <= 80 and meta",
+        "fragment": "n <= 100 and frag",
+        "old_equivalence_placeholder": f"{_sql_m('src', P.OLD_SOURCES)} and {_sql_like(t, P.OLD_EQUIVALENCE)}",
+        "url_residue": _sql_like(t, P.URL),
+        "redirect_residue": "redirect",
+        "about_fragment": "n <= 100 and about",
+        "bad_residue": f"{_sql_m(t, P.RESIDUE)} or {edge}",
+    }
+    any_flag = " or ".join(f"({v})" for v in flags.values())
+    head = f"regexp_replace({_sql_casefold(_sql_collapse(chr(99) + 'oalesce(lemma, ' + chr(39) * 2 + ')'))}, '^[ .,:;—–-]+|[ .,:;—–-]+$', '', 'g')"
+    return f"""
+base as (
+  select seq, lemma, source, coalesce(source, '') as src, {_sql_collapse("coalesce(definition, '')")} as text from senses
+), p1 as (
+  select *, length(text) as n, {_sql_casefold('text')} as low, regexp_replace(text, '[{native.STRESS}]', '', 'g') as plain,
+         {head} as head, regexp_replace({_sql_casefold('text')}, '^это ', '') as lowp,
+         regexp_replace(text, '\\s*\\([^()]{{1,40}}\\)\\s*[.!]?$', '') as probe
+  from base
+), p2 as (
+  select *, (n <= 140 and ({' or '.join(_sql_like(plain, p) for p in P.ONOMASTIC)})) as onomastic,
+         (({_sql_like(t, P.ALIAS[0])} or {_sql_like(t, P.ALIAS[1])}) and not {_sql_like(t, P.ALIAS_PROSE)}) as redirect,
+         {_sql_m(low, P.ABOUT)} as about, {_sql_like(t, P.EMPTY_META)} as meta, {_sql_like(t, P.FRAGMENT)} as frag,
+         (length(head) >= 4 and starts_with(lowp, head) and
+           (substring(lowp, length(head) + 1, 1) in ('', '—', '–', ':', '-') or regexp_matches(substring(lowp, length(head) + 1, 1), '\\s'))) as selfref
+  from p1
+), p3 as (
+  select *, (not onomastic and n between 4 and 45 and not about and not redirect and not meta and not frag
+         and {_sql_m('probe', P.CONCISE)} and length(regexp_replace(probe, '[^\\p{{L}}]', '', 'g')) >= 3) as concise
+  from p2
+), flagged as (
+  select seq, lemma, source, text, n, case when n = 0 then ['empty'] else list_filter([
+    case when onomastic then 'onomastic_stub' end,
+    {', '.join(f"case when {v} then '{k}' end" for k, v in flags.items())},
+    case when concise and not onomastic and not ({any_flag}) then 'concise_gloss' end,
+    case when starts_with(src, 'ruwiki') and {_sql_m(t, P.YEAR)} and not {_sql_m("coalesce(lemma, '')", P.YEAR)} and {_sql_like(t, P.WIKI_HISTORY)} then 'encyclopedic_date' end,
+    case when starts_with(src, 'ruwiki') and ({_sql_like(t, P.WIKI_TAIL)} or abs({_sql_count(t, '(')} - {_sql_count(t, ')')}) >= 2) then 'broken_fragment' end
+  ], lambda f: f is not null) end as flags
+  from p3
+), scored as (
+  select *, cast(case when n = 0 then 0 else greatest(0, least(100,
+    case when list_contains(flags, 'onomastic_stub') then case when n >= 9 then 64 else 56 end
+         when list_contains(flags, 'concise_gloss') then 64
+         when n < 16 then 42 when n < 35 then 60 when n between 45 and 260 then 80 when n > 520 then 52 when n > 360 then 64 else 72 end
+    - coalesce(list_sum(list_transform(flags, lambda f: coalesce(map {{{', '.join(f"'{k}': {v}" for k, v in P.PENALTIES.items())}}}[f], 0))), 0)
+    + case when regexp_matches(text, '[.!?]$') then 3 else 0 end
+    + case when n >= 55 and regexp_matches(text, '[;,—]') then 2 else 0 end)) end as int) as score
+  from flagged
+)
+"""
+
+
+_Q = "with " + _sql_flags()
+
+_ARTICLES = f"""
+with d as (
+  select lemma, seq, {_sql_collapse('definition')} as d from senses where lemma is not null and seq is not null
+), f as (
+  select lemma, seq, d, row_number() over (partition by lemma,
+    regexp_replace({_sql_collapse(_sql_casefold('d'))}, '^[ .;,:—-]+|[ .;,:—-]+$', '', 'g') order by seq) as rn
+  from d where d <> ''
+), a as (
+  select lemma, list(d order by seq) as t from f where rn = 1 group by lemma
+), art as (
+  select lemma, case when len(t) = 1 then t[1]
+    else array_to_string(list_transform(t, lambda x, i: i || '. ' || x), chr(10)) end as article from a
+)
+"""
+_RANK = (
+    "case when starts_with(s, 'wiktionary') then 0 when starts_with(s, 'wikidata') then 1 when s = 'dal' then 2"
+    " when starts_with(s, 'extra:') then 4 when starts_with(s, 'ruwiki') then 5 else 3 end"
+)
+
+
+def _starts(x: str) -> str:
+    return " or ".join(f"starts_with({x}, {_q(s)})" for s in P.CANDIDATE_STARTS)
+
+
+SQL = {
+    "normalize_key": f"with k as (select distinct key from links where key is not null) select key, {_sql_key('key')} as normalized, {_sql_valid(_sql_key('key'))} as valid from k",
+    "normalize_lookup": f"with k as (select distinct key from links where key is not null) select key, {_sql_lookup('key')} as normalized from k",
+    "alias_expand": f"""with k as (select distinct {_sql_key('key')} as k from links where key is not null),
+      a as (select k, k as x from k union select k, {_sql_casefold('k')} from k),
+      b as (select k, x from a union select k, translate(x, 'ёЁ', 'еЕ') from a),
+      c as (select k, x from b union select k, translate(regexp_replace(x, '[{native.STRESS}]', '', 'g'), {_q(native.STRESSED)}, {_q(native.UNSTRESSED)}) from b)
+      select k as key, x as alias from c where {_sql_valid('x')} and {_sql_valid('k')}""",
+    "tokenize_counts": f"with {_T} select normalized, count(*) as n from tn group by 1",
+    "script_distribution": f"with {_T} select {_sql_script('token')} as script, count(*) as n, count(distinct normalized) as n_distinct from tn group by 1",
+    "ngram_lookup_candidates": f"""with t as (
+        select item_id, list_transform(regexp_extract_all(text, {_q(native.TOKEN)}), lambda x: {_sql_lookup('x')}) as w from eval_items
+      ), g as (select item_id, unnest(list_concat(w, flatten(list_transform([2, 3, 4], lambda n: list_transform(
+        range(1, greatest(len(w) - n + 2, 1)), lambda i: array_to_string(w[i:i + n - 1], ' ')))))) as gram from t)
+      select gram, count(*) as n, count(distinct item_id) as items from g group by 1""",
+    "coverage_by_file": _C + "select doc, cast(sum(n) as bigint) as tokens_total, count(*) as unique_tokens, cast(sum(case when single_known then 0 else greatest(n - covered, 0) end) as bigint) as unknown_tokens from counts group by 1",
+    "coverage_report": _C + """, tot as (select cast(sum(n) as bigint) as tokens_total, count(*) as unique_tokens,
+        cast(sum(case when single_known then 0 else greatest(n - covered, 0) end) as bigint) as unknown_tokens from corpus)
+      select tokens_total, unique_tokens, tokens_total - unknown_tokens as known_tokens, unknown_tokens,
+        round((tokens_total - unknown_tokens) / tokens_total * 100, 3) as coverage_percent from tot""",
+    "oov_topk": _C + "select normalized, count from unk where count > 0 order by count desc, normalized limit 200",
+    "oov_by_script": _C + f"select {_sql_script('normalized')} as script, cast(sum(count) as bigint) as tokens, count(*) as forms from unk where count > 0 group by 1",
+    "token_variants_top5": f"with {_T} {_V} select normalized, rank, token, n from ranked where rank <= 5",
+    "insert_or_ignore_senses": "select lemma, definition, source, seq from (select *, row_number() over (partition by lemma, definition order by seq) as rn from senses where lemma is not null and definition is not null) where rn = 1",
+    "insert_or_replace_overrides": "select user_id, event_type, value, event_id from (select *, row_number() over (partition by user_id order by event_id desc) as rn from events) where rn = 1",
+    "layered_fallback": f"""with r as (select lemma, definition, source, seq, coalesce(source, '') as s from senses where lemma is not null),
+      k as (select *, {_RANK} as rank from r), m as (select *, min(rank) over (partition by lemma) as first from k)
+      select lemma, seq, source from m where rank = first or rank = 4""",
+    "group_senses_article": _ARTICLES + "select lemma, article from art",
+    "prefix_offsets": _ARTICLES + "select lemma, strlen(article) as size, cast(sum(strlen(article)) over (order by lemma) - strlen(article) as bigint) as offset from art",
+    "ambiguous_keys": f"with {_E} select key, count(*) as n_lemmas, string_agg(lemma, '|' order by lemma) as lemmas from edges group by 1 having count(*) > 1",
+    "override_merge": f"""with {_E}, o as (select key, max(target) as definition from form_hints where kind = 'passive' and target is not null group by 1)
+      select key, 'links' as kind, string_agg(lemma, '|' order by lemma) as body from edges where key not in (select key from o) group by 1
+      union all select key, 'override', definition from o""",
+    "link_closure": f"""with recursive {_E}, {_D}, walk(key, lemma) as (
+        select key, lemma from edges union
+        select w.key, e.lemma from walk w join edges e on e.key = w.lemma where w.lemma not in (select lemma from defined))
+      select key, lemma from walk""",
+    "prune_dangling": f"with {_E}, {_D} select key, lemma from edges where lemma in (select lemma from defined)",
+    "resolved_lookup": f"""with {_E}, per as (select lemma, count(*) as n from senses where lemma is not null and definition is not null group by 1)
+      select key, cast(sum(n) as bigint) as n_definitions from edges join per using (lemma) group by 1""",
+    "quality_flags": _Q + "select seq, array_to_string(flags, ',') as flags from scored",
+    "quality_score": _Q + "select seq, score from scored",
+    "quality_buckets": _Q + "select case when score < 50 then '0-49' when score < 70 then '50-69' when score < 85 then '70-84' else '85-100' end as bucket, count(*) as n, round(avg(score), 2) as average from scored group by 1",
+    "quality_warning_counts": _Q + ", e as (select unnest(flags) as flag from scored) select flag, count(*) as n from e group by 1",
+    "quality_by_source": _Q + "select source, count(*) as n, round(avg(score), 2) as average from scored group by 1",
+    "flag_examples": _Q + ", e as (select unnest(flags) as flag, lemma, seq, score from scored where lemma is not null), r as (select *, row_number() over (partition by flag order by lemma, seq) as place from e) select flag, lemma, seq, score, place from r where place <= 80",
+    "quality_review_topk": _Q + "select score, lemma, seq, source from scored where len(list_filter(flags, lambda f: f not in ('onomastic_stub', 'concise_gloss'))) > 0 order by score, lemma nulls first, seq limit 5000",
+    "semantic_candidates": f"""select seq from senses where definition is not null and lemma is not null and (
+        source = 'dal' or starts_with(source, 'ruwiki') or source in ('wiktionary:cu', 'wiktionary:orv', 'wiktionary:ru-old')
+        or length(definition) <= 40 or length(definition) > 520
+        or substring(ltrim(definition, ' '), 1, 1) in ('(', '[', '·', '•') or {_starts("ltrim(definition, ' ')")}
+        or {' or '.join(f'contains(definition, {_q(s)})' for s in P.CANDIDATE_PARTS)}
+        or {' or '.join(f"ends_with(rtrim(definition, ' '), {_q(s)})" for s in P.CANDIDATE_ENDS)}
+        or contains(lower(definition), 'http://') or contains(lower(definition), 'https://')
+        or {_sql_casefold('substring(definition, 1, length(lemma))')} = {_sql_casefold('lemma')})""",
+    "extract_pack": """with d as (select word, definition, min(pack) as pack from pack_entries where word is not null and definition is not null group by 1, 2),
+      r as (select *, row_number() over (partition by word order by definition) as place from d) select word, definition, place from r where place <= 3""",
+    "stage_stats": """select count(*) as definitions, count(distinct lemma) as lemmas,
+      (select count(*) from (select distinct key, lemma from links where key <> '' and lemma <> '')) as links,
+      (select count(distinct key) from links where key <> '' and lemma <> '') as lookup_keys from senses where definition is not null""",
+    "star_lookup_totals": """select n_name, count(*) as lines, round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue
+      from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1""",
+}
+
+# --- Spark ------------------------------------------------------------------------------
+
+
+def _links(s, d):
+    return graph.clean_edges(table(s, d, "links"))
+
+
+def _keys(s, d):
+    k = table(s, d, "links").select(F.col("key").alias("k")).unionByName(table(s, d, "pack_entries").select(F.col("word").alias("k")))
+    return coverage.known_keys(k.distinct(), "k")
+
+
+def _counts(s, d):
+    return coverage.token_counts(table(s, d, "documents"), _keys(s, d))
+
+
+def _distinct_keys(s, d):
+    return table(s, d, "links").where("key is not null").select("key").distinct()
+
+
+def _scored(s, d):
+    return quality.score(quality.with_flags(table(s, d, "senses")))
+
+
+def normalize_key(s, d):
+    k = _distinct_keys(s, d).withColumn("normalized", native.normalize_key(F.col("key")))
+    return k.withColumn("valid", native.is_lookup_key(F.col("normalized")))
+
+
+def alias_expand(s, d):
+    k = table(s, d, "links").where("key is not null").select(native.normalize_key(F.col("key")).alias("key")).distinct()
+    return k.where(native.is_lookup_key(F.col("key"))).select("key", F.explode(native.alias_candidates(F.col("key"))).alias("alias"))
+
+
+def script_distribution(s, d):
+    t = coverage.token_rows(table(s, d, "documents"))
+    return t.groupBy(native.script_of(F.col("token")).alias("script")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("normalized").alias("n_distinct")
+    )
+
+
+def ngram_lookup_candidates(s, d):
+    w = F.transform(native.tokens(F.col("text")), lambda x: native.normalize_lookup(x, composed=True))
+    g = table(s, d, "eval_items").select("item_id", F.explode(native.ngrams(w)).alias("gram"))
+    return g.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("item_id").alias("items"))
+
+
+def oov_by_script(s, d):
+    u = coverage.unknown_tokens(_counts(s, d))
+    return u.groupBy(native.script_of(F.col("normalized")).alias("script")).agg(
+        F.sum("count").alias("tokens"), F.count(F.lit(1)).alias("forms")
+    )
+
+
+def oov_classify(s, d):
+    docs = table(s, d, "documents")
+    return coverage.classify(coverage.unknown_tokens(_counts(s, d)), coverage.variants(docs))
+
+
+def link_closure(s, d):
+    return graph.close_aliases(_links(s, d), graph.defined_lemmas(table(s, d, "senses")), Workspace(s, "closure"))
+
+
+def override_merge(s, d):
+    hints = table(s, d, "form_hints").where("kind = 'passive' and target is not null")
+    return graph.merge_overrides(_links(s, d), hints.groupBy("key").agg(F.max("target").alias("definition")))
+
+
+def prefix_offsets(s, d):
+    a = articles.build_articles(table(s, d, "senses"))
+    return articles.with_offsets(a, "lemma", F.octet_length("article").cast("long")).select("lemma", "size", "offset")
+
+
+def extract_pack(s, d):
+    from pyspark.sql import Window
+
+    e = table(s, d, "pack_entries").where("word is not null and definition is not null").select("word", "definition").distinct()
+    place = F.row_number().over(Window.partitionBy("word").orderBy("definition"))
+    return e.withColumn("place", place).where("place <= 3")
+
+
+def stage_stats(s, d):
+    senses = table(s, d, "senses").where("definition is not null").agg(
+        F.count(F.lit(1)).alias("definitions"), F.countDistinct("lemma").alias("lemmas")
+    )
+    links = _links(s, d).agg(F.count(F.lit(1)).alias("links"), F.countDistinct("key").alias("lookup_keys"))
+    one = F.lit(1)
+    return senses.withColumn("_j", one).join(links.withColumn("_j", one), "_j").drop("_j")  # one row each
+
+
+def star_lookup_totals(s, d):
+    li, o, c, n = (table(s, d, x) for x in ("lineitem", "orders", "customer", "nation"))
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    return j.groupBy("n_name").agg(
+        F.count(F.lit(1)).alias("lines"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue")
+    )
 
 
 def queries():
     return {
         "p5_found": rejects.p5_found,
         "p5_entries": rejects.p5_entries,
+        "normalize_key": normalize_key,
+        "normalize_lookup": lambda s, d: _distinct_keys(s, d).withColumn("normalized", native.normalize_lookup(F.col("key"))),
+        "alias_expand": alias_expand,
+        "tokenize_counts": lambda s, d: coverage.token_rows(table(s, d, "documents")).groupBy("normalized").agg(F.count(F.lit(1)).alias("n")),
+        "script_distribution": script_distribution,
+        "ngram_lookup_candidates": ngram_lookup_candidates,
+        "coverage_by_file": lambda s, d: coverage.coverage_by_file(_counts(s, d)),
+        "coverage_report": lambda s, d: coverage.coverage_report(_counts(s, d)),
+        "oov_topk": lambda s, d: coverage.unknown_tokens(_counts(s, d)).orderBy(F.desc("count"), "normalized").limit(200),
+        "oov_by_script": oov_by_script,
+        "oov_classify": oov_classify,
+        "oov_groups": lambda s, d: coverage.oov_groups(oov_classify(s, d)),
+        "token_variants_top5": lambda s, d: coverage.variants(table(s, d, "documents")),
+        "insert_or_ignore_senses": lambda s, d: dedupe.insert_or_ignore(
+            table(s, d, "senses").where("lemma is not null and definition is not null").select("lemma", "definition", "source", "seq"), ["lemma", "definition"], ["seq"]
+        ),
+        "insert_or_replace_overrides": lambda s, d: dedupe.insert_or_replace(
+            table(s, d, "events").select("user_id", "event_type", "value", "event_id"), ["user_id"], ["event_id"]
+        ),
+        "layered_fallback": lambda s, d: dedupe.layer_fallback(table(s, d, "senses")).select("lemma", "seq", "source"),
+        "group_senses_article": lambda s, d: articles.build_articles(table(s, d, "senses")),
+        "prefix_offsets": prefix_offsets,
+        "ambiguous_keys": lambda s, d: graph.ambiguous_keys(_links(s, d)),
+        "override_merge": override_merge,
+        "link_closure": link_closure,
+        "prune_dangling": lambda s, d: graph.prune_dangling(_links(s, d), graph.defined_lemmas(table(s, d, "senses"))),
+        "resolved_lookup": lambda s, d: graph.resolve_keys(_links(s, d), table(s, d, "senses")),
+        "quality_flags": lambda s, d: quality.with_flags(table(s, d, "senses")).select("seq", F.array_join("flags", ",").alias("flags")),
+        "quality_score": lambda s, d: _scored(s, d).select("seq", "score"),
+        "quality_buckets": lambda s, d: quality.score_buckets(_scored(s, d)),
+        "quality_warning_counts": lambda s, d: quality.warning_counts(_scored(s, d)),
+        "quality_by_source": lambda s, d: _scored(s, d).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 2).alias("average")),
+        "flag_examples": lambda s, d: quality.flag_examples(_scored(s, d)),
+        "quality_review_topk": lambda s, d: quality.review_queue(_scored(s, d)),
+        "semantic_candidates": lambda s, d: quality.semantic_candidates(table(s, d, "senses")).select("seq"),
+        "extract_pack": extract_pack,
+        "stage_stats": stage_stats,
+        "star_lookup_totals": star_lookup_totals,
     }
 
 
 def oracle_sql():
-    return {**rejects.SQL}
+    return {**rejects.SQL, **SQL}
