@@ -64,6 +64,16 @@ def nfc(c: Column) -> Column:
     return F.coalesce(_nfc()(F.when(c.rlike(_NOT_NFC), c)), c)
 
 
+def bind(fields: dict[str, Column], body) -> Column:
+    """``body`` of the fields, each evaluated once per row.
+
+    The optimizer merges neighbouring projections and then evaluates an expression at every
+    use; what a lambda variable holds is computed one time.
+    """
+    row = F.struct(*[v.alias(k) for k, v in fields.items()])
+    return F.transform(F.array(row), body)[0]
+
+
 def casefold(c: Column) -> Column:
     return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
 
@@ -144,13 +154,12 @@ def script_of(token: Column) -> Column:
 def ngrams(words: Column, low: int = 1, high: int = 4) -> Column:
     """Runs of ``low`` to ``high`` neighbouring words, joined by blanks."""
 
-    def of(n: int) -> Column:
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(
-            F.array().cast("array<int>")
-        )
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+    def of(w: Column, n: int) -> Column:
+        none = F.array().cast("array<int>")
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(none)
+        return F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
 
-    return F.flatten(F.array(*[of(n) for n in range(low, high + 1)]))
+    return bind({"w": words}, lambda s: F.flatten(F.array(*[of(s["w"], n) for n in range(low, high + 1)])))
 
 
 def base_title(title: Column) -> Column:
