@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import native
 from lexloom.functions import patterns as P
-from lexloom.operators import articles, coverage, dedupe, graph, quality
+from lexloom.functions import rules
+from lexloom.operators import articles, coverage, dedupe, forms, graph, quality
 from lexloom.runtime import Workspace
-from lexloom.sources import rejects
+from lexloom.sources import packs, rejects, wiki
 from lexloom.sources.tables import table
 
 # --- SQL fragments ----------------------------------------------------------------------
@@ -366,6 +367,27 @@ def star_lookup_totals(s, d):
     )
 
 
+def clean_definitions(s, d):
+    t = table(s, d, "senses").where("definition is not null")
+    return t.select("seq", rules.text_rule("clean_definition", F.col("definition")).alias("clean"))
+
+
+def wiki_leads(s, d):
+    pages = table(s, d, "candidates").where("title is not null")
+    return wiki.lead_definitions(pages.select("title", wiki.inflate(F.col("lead_z")).alias("lead")).distinct())
+
+
+def passive_overrides(s, d):
+    return forms.derive_overrides(table(s, d, "form_hints"), table(s, d, "senses"), table(s, d, "links"))
+
+
+def index_records(s, d):
+    from lexloom.sinks.stardict import index_records as build
+
+    senses, links = table(s, d, "senses"), table(s, d, "links")
+    return build(senses, links, None, Workspace(s, "index"))[1]
+
+
 def queries():
     return {
         "p5_found": rejects.p5_found,
@@ -407,6 +429,11 @@ def queries():
         "semantic_candidates": lambda s, d: quality.semantic_candidates(table(s, d, "senses")).select("seq"),
         "extract_pack": extract_pack,
         "stage_stats": stage_stats,
+        "clean_definitions": clean_definitions,
+        "wiki_leads": wiki_leads,
+        "passive_overrides": passive_overrides,
+        "pack_variants": lambda s, d: packs.with_variants(table(s, d, "pack_entries").where("word is not null")).select("word", "definition", "aliases"),
+        "index_records": index_records,
         "star_lookup_totals": star_lookup_totals,
     }
 
