@@ -148,7 +148,7 @@ def without_latin_accents(value: str) -> str:
         else:
             latin = unicodedata.name(c, "").startswith("LATIN")
         out.append(c)
-    return "".join(out)
+    return unicodedata.normalize("NFC", "".join(out))
 
 
 def typographic_variants(value: str) -> list[str]:

@@ -29,7 +29,8 @@ def read_extra_json(spark: SparkSession, path: str) -> DataFrame:
     v = F.try_parse_json("value")
     one = lambda k: F.try_variant_get(v, f"$.{k}", "string")
     many = lambda k: F.try_variant_get(v, f"$.{k}", "array<string>")
-    defs = F.coalesce(many("definitions"), F.array(one("definitions")), many("glosses"), F.array(one("definition")))
+    single = lambda k: F.when(one(k).isNotNull(), F.array(one(k)))
+    defs = F.coalesce(many("definitions"), single("definitions"), many("glosses"), single("glosses"), single("definition"))
     rows = text.select("pos", one("word").alias("word"), F.posexplode(defs).alias("i", "definition"), many("aliases").alias("aliases"))
     return rows.where("word is not null and definition is not null")
 
