@@ -140,9 +140,14 @@ def assign_groups(
         layer = layers.pop()
         final = workspace.keep(_salted_lookup(layer, final), "final")
     # the smallest word of each group, pre-aggregated, goes back to the members
-    least = final.groupBy("parent").agg(F.min("v").alias("group_word"))
-    # parents of the table may be absent as words only if it is empty
-    out = _salted_join(final, least.withColumnRenamed("parent", "p"), "parent", "p", "inner")
+    least = final.groupBy("parent").agg(F.min("v").alias("group_word"), F.count(F.lit(1)).alias("n"))
+    least = workspace.keep(least.withColumnRenamed("parent", "p"), "least")
+    # at most words / edges_per_partition groups are this large, so they may be broadcast
+    hot = F.broadcast(least.where(F.col("n") > edges_per_partition))
+    same = F.col("parent") == F.col("p")
+    out = final.join(hot, same).select("v", "group_word").unionByName(
+        final.join(hot, same, "left_anti").join(least, same).select("v", "group_word")
+    )
     return out.select(F.col("v").alias("word"), "group_word")
 
 
