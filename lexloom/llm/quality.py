@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm import irep
+from lexloom.runtime import Workspace
 from lexloom.sources.tables import table
 
 #: A word is common if it makes up at least this share of all words; so there are at most 1000.
@@ -49,13 +50,12 @@ def common_words(df: DataFrame, text_col: str = "text", share: float = COMMON_SH
     Counted over all texts with a map-side combine. At most ``1 / share`` words can reach
     the share, which bounds the result that comes to the driver.
     """
-    counts = (
-        df.select(F.explode(_words(F.col(text_col))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    )
-    # the share needs the total: one pass gives both, as rows that can still reach it are few
-    total = counts.groupBy().agg(F.sum("n").alias("total"))
-    top = counts.crossJoin(F.broadcast(total)).where(F.col("n") >= F.col("total") * F.lit(share))
-    return [r["w"] for r in top.orderBy(F.desc("n"), "w").collect()]
+    words = df.select(F.explode(_words(F.col(text_col))).alias("w"))
+    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    counts = Workspace(df.sparkSession, "words").keep(counts, "counts")  # read twice below
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    top = counts.where(F.col("n") >= total * share).orderBy(F.desc("n"), "w")
+    return [r["w"] for r in top.collect()]
 
 
 #: The statistics the rules may use, in the order in which ties are broken.
