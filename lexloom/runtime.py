@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -49,36 +50,61 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system; a session that has ended leaves it."""
+    try:
+        sc = spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # the JVM is gone
+        pass
+
+
+@contextlib.contextmanager
+def _shuffles_go(spark: SparkSession):
+    """Delete the shuffle files of what runs inside as soon as it has run (where Spark can)."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    if before is None:
+        yield
+        return
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Workspace:
     """Intermediate tables of one query run, written once to the shared folder.
 
     A table written here survives the loss of any executor and ends the lineage, so a
-    later failure re-reads files instead of recomputing the loop so far.
+    later failure re-reads files instead of recomputing the loop so far. What is left of the
+    folder goes when the program ends, as results may still be read from it until then.
     """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/lexloom-{label}-{uuid.uuid4().hex}"
         self._n = 0
+        atexit.register(_delete, spark, self.root)
 
     def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Write ``df`` and return a DataFrame that reads it back."""
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
-        df.write.mode("overwrite").parquet(path)
+        with _shuffles_go(self.spark):
+            df.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._lexloom_path = path
         return out
 
     def drop(self, *tables: DataFrame | None) -> None:
         """Delete tables of this workspace that nothing will read again."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for t in tables:
             path = getattr(t, "_lexloom_path", None)
             if path:
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+                _delete(self.spark, path)
 
 
 def input_partitions(df: DataFrame) -> int:
