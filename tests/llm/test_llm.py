@@ -135,7 +135,7 @@ def test_groups(spark):
             a, b = find(a), find(b)
             parent[max(a, b)] = min(a, b)
     df = spark.createDataFrame(pairs, "key string, lemma string").withColumn("v", F.lit(1))
-    got = groups.assign_groups(df.repartition(5), "key", "lemma", Workspace(spark, "t"), edges_per_partition=40, small_graph=20)
+    got = groups.assign_groups(df.repartition(5), "key", "lemma", Workspace(spark, "t"), edges_per_partition=40)
     assert sorted(map(tuple, got.collect())) == sorted((w, find(w)) for w in list(parent))
     assert groups.assign_groups(df.limit(0), "key", "lemma", Workspace(spark, "t")).count() == 0
 
