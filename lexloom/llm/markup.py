@@ -1,10 +1,11 @@
 """Problem 1: markup residue. Segments of a text are labelled by a minimum cut.
 
 A text is cut into delimiters that may be markup (HTML, Markdown, wiki, LaTeX) and the
-runs between them. A classifier gives each segment two costs, which become its terminal
-capacities; neighbours and the two ends of one construct (proximity in the document tree)
-are tied by smoothness edges. The minimum cut then says at once which delimiters are markup
-and which runs belong to a construct that is no content.
+runs between them. A classifier fitted on generated samples (:mod:`.markup_model`) gives
+each delimiter two costs, which become its terminal capacities; neighbours and the two ends
+of one construct (proximity in the document tree) are tied by smoothness edges. The minimum
+cut then says at once which delimiters are markup and which runs belong to a construct that
+is no content. Code and formulas are closed before: nothing inside them is labelled.
 
 The cut is exact: segments whose own costs outweigh all their edges are settled first and
 their edges folded into the neighbours (persistency), which settles nearly all of them;
@@ -16,6 +17,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from bisect import bisect_right
 from collections import deque
 from html.entities import html5
 
@@ -32,8 +34,12 @@ TAGS = frozenset(
     option p param picture pre progress q rp rt ruby s samp script section select small source span strike strong style
     sub summary sup svg table tbody td template textarea tfoot th thead time title tr tt u ul var video wbr
     ref references nowiki math chem syntaxhighlight gallery noinclude includeonly onlyinclude poem hiero score timeline
-    imagemap indicator categorytree pagelist section templatestyles""".split()
+    imagemap indicator categorytree pagelist templatestyles""".split()
 )
+#: Elements whose inside is code, a formula, or no content.
+CODE_TAGS = frozenset(("code", "pre", "syntaxhighlight", "tt", "nowiki"))
+FORMULA_TAGS = frozenset(("math", "chem"))
+DROPPED_TAGS = frozenset(("ref", "script", "style", "gallery", "timeline"))
 #: LaTeX commands that are known without an argument.
 COMMANDS = frozenset(
     """alpha beta gamma delta epsilon varepsilon zeta eta theta iota kappa lambda mu nu xi pi rho sigma tau upsilon phi
@@ -42,223 +48,490 @@ COMMANDS = frozenset(
     forall exists quad qquad item noindent newline newpage par hline centering maketitle tableofcontents it bf em tt sc
     rm sf sl small large Large tiny bfseries itshape ttfamily left right frac sqrt""".split()
 )
+#: LaTeX commands by what becomes of their argument.
+HEADING_COMMANDS = {"title": 1, "part": 1, "chapter": 1, "section": 1, "subsection": 2, "subsubsection": 3, "paragraph": 4}
+TEXT_COMMANDS = frozenset(
+    "textbf textit texttt textsc textsf textrm textsl textup textmd textnormal text emph underline uline mbox hbox caption "
+    "author date item quad qquad noindent newline par ldots dots cdots it bf em tt sc rm sf sl small large Large tiny".split()
+)
+DROPPED_COMMANDS = frozenset(
+    "cite citep citet ref eqref pageref label footnote footnotemark includegraphics vspace hspace index bibliography "
+    "bibliographystyle documentclass usepackage input include".split()
+)
+SPACE_COMMANDS = {"quad": " ", "qquad": " ", "noindent": "", "newline": "\n", "par": "\n", "ldots": "…", "dots": "…", "cdots": "…"}
+MATH_ENVIRONMENTS = frozenset("equation align gather math displaymath eqnarray multline array matrix pmatrix cases".split())
+CODE_ENVIRONMENTS = frozenset(("verbatim", "lstlisting", "minted", "alltt"))
+#: Template parameters that hold shown text.
+TEXT_PARAMETERS = frozenset(("text", "title", "quote", "текст", "заглавие", "название", "цитата", "1", "2"))
 #: Names of file and category links.
-FILE_LINK = re.compile(r"(?i)^\s*(?:file|image|category|файл|изображение|категория)\s*:")
+FILE_LINK = re.compile(r"(?i)\s*(?:file|image|category|файл|изображение|категория)\s*:")
 
 _SEGMENT = re.compile(
     r"""(?P<comment><!--.*?(?:-->|\Z))
-    |(?P<tag></?[A-Za-z][A-Za-z0-9]*(?:\s[^<>\n]{0,400})?/?>)
-    |(?P<entity>&(?:[A-Za-z][A-Za-z0-9]{1,30}|\#[0-9]{1,7}|\#[xX][0-9A-Fa-f]{1,6});)
+    |(?P<tag></?[A-Za-z][A-Za-z0-9-]*(?:\s(?:"[^"<]*"|'[^'<]*'|[^<>"'])*+)?/?>|</?[A-Za-z][A-Za-z0-9-]*(?:\s[^<>]*)?>)
+    |(?P<entity>&(?:[A-Za-z][A-Za-z0-9]+|\#[0-9]+|\#[xX][0-9A-Fa-f]+);)
     |(?P<fence>^[ ]{0,3}(?:```+|~~~+)[^`\n]*$)
     |(?P<setext>(?<=\n)(?:={3,}|-{3,})[ \t]*$)
-    |(?P<heading>^={1,6}[^=\n](?:[^\n]*[^=\n])?={1,6}[ \t]*$|^[ ]{0,3}\#{1,6}[ \t]+(?=\S))
+    |(?P<heading>^=+[^=\n](?:[^\n]*[^=\n])?=+[ \t]*$|^[ ]{0,3}\#+[ \t]+(?=\S))
     |(?P<ruler>^\|?[ ]*:?-{2,}:?[ ]*(?:\|[ ]*:?-{2,}:?[ ]*)+\|?[ \t]*$)
-    |(?P<wtable>^\{\|[^\n]*|^\|\}|^\|[-+]|^!(?=[ ]?\S)|^\|(?=[ ])(?![^\n]*\|[ \t]*$))
+    |(?P<wtable>^\{\|[^\n]*|^\|\}|^\|[-+][^\n|]*$|^!(?=[ ]?\S)|^\|(?=[ ])(?![^\n]*\|[ \t]*$))
     |(?P<row>^\|[^\n]*\|[ \t]*$)
-    |(?P<cell>\|\|)
-    |(?P<list>^[ \t]*(?:[*#]+|[-+]|\d{1,3}[.)])[ \t]+(?=\S)|^[*\#]{1,4}(?=[^\s*\#])(?![^\n]*\*)|^[;:]+[ ]*(?=\S)|^>[ ]?(?=\S))
+    |(?P<cell>\|\||!!)
+    |(?P<list>^[ \t]*(?:[*#]+|[-+]|\d+[.)])[ \t]+(?=\S)|^[*\#]+(?=[^\s*\#])(?![^\n]*\*)|^[;:]+[ ]*(?=\S)|^>[ ]?(?=\S))
     |(?P<mdlink>!?\[[^\[\]\n]*\]\([^()\s]*(?:\s"[^"\n]*")?\))
-    |(?P<note>\[\^[^\]\s]{1,40}\]:?)
+    |(?P<note>\[\^[^\]\s]+\]:?)
     |(?P<wopen>\[\[|\{\{)|(?P<wclose>\]\]|\}\})
     |(?P<extlink>\[(?:https?|ftp)://[^\s\]]+[^\]\n]*\])
-    |(?P<magic>__[A-Z]{3,20}__)
+    |(?P<magic>__[A-ZА-ЯЁ]{3,}__)
     |(?P<env>\\(?:begin|end)[ ]?\{[A-Za-z]+\*?\})
     |(?P<math>\\[\[\]()])
     |(?P<group>\{\\[A-Za-z]+(?=\s))
     |(?P<command>\\[A-Za-z]+\*?(?P<arg>[ ]?[\[{])?)
-    |(?P<script>[_^]\{[^{}\n]{0,80}\})
+    |(?P<script>[_^]\{[^{}\n]*\})
     |(?P<dollar>\$\$?)
     |(?P<quote>'{2,5})
     |(?P<star>\*{1,3})|(?P<under>_{1,3})|(?P<strike>~~)|(?P<tick>`+)""",
     re.X | re.M | re.S,
 )
-_PAIRED = {"star", "under", "strike", "tick", "quote", "dollar"}
-_TAG_NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9]*)")
+_PAIRED = {"star", "under", "strike", "quote"}
+_TAG_NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9-]*)")
 _FORMULA = re.compile(r"[\\^_=+<>]|[A-Za-z0-9]")
+_BRACE = re.compile(r"\\[{}]|[{}]")
+_NAMED = re.compile(r"\s*([\w .-]+?)\s*=")
 #: A necessary condition of every alternative above, for the scan (Java syntax).
-PREFILTER = r"(?m)[<&\\\[\]{}*_`$#|~]|''|^\s*(?:==|[-+:;!>]|\d{1,3}[.)]\s|---)"
+PREFILTER = r"(?m)[<&\\\[\]{}*_`$#|~]|''|!!|^\s*(?:==|[-+:;!>]|\d+[.)]\s|---)"
 
-# costs are (evidence for markup, evidence for content)
-_SURE, _LIKELY, _WEAK, _NONE = (9, 1), (6, 3), (2, 3), (1, 4)
+#: Parameters of the model: weights of the edges, how near two delimiters are tied (characters), cost of a plain run.
+NEAR, TIE_NEAR, TIE_MATES, TIE_INSIDE, RUN = 24, 2, 10, 14, 12
 
 
 class Segment:
-    __slots__ = ("kind", "text", "start", "end", "markup", "content", "mate", "label")
+    __slots__ = ("kind", "text", "start", "end", "mate", "label", "i", "shut", "owner")
 
-    def __init__(self, kind, text, start, end):
+    def __init__(self, kind: str, text: str, start: int, end: int) -> None:
         self.kind, self.text, self.start, self.end = kind, text, start, end
-        self.markup, self.content = 0, 3
-        self.mate = -1
+        self.mate: Segment | None = None  # the other end of the construct
         self.label = False
+        self.i = -1
+        self.shut = False  # an end of a construct whose inside is closed
+        self.owner: Segment | None = None  # the construct that hides this run
+
+
+def _name(t: str) -> str:
+    return _TAG_NAME.match(t).group(1).lower()
+
+
+def _command_name(t: str) -> str:
+    return t[1:].rstrip("*[{ ")
+
+
+class _Closers:
+    """Where the delimiter that closes a code or formula construct stands; misses are remembered."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.none = text, set()
+        self._braces: dict[int, int] | None = None
+
+    def _search(self, key, pattern: str, at: int, flags: int = 0):
+        if key in self.none:
+            return None
+        m = re.compile(pattern, flags).search(self.text, at)
+        if m is None:
+            self.none.add(key)
+            return None
+        return m.start(), m.end()
+
+    def of(self, kind: str, t: str, at: int):
+        """Place of the closer for delimiter ``t`` that ends at ``at``, or None if it closes nothing."""
+        text = self.text
+        if kind == "tag":
+            name = _name(t)
+            if t[1] == "/" or t.endswith("/>") or name not in CODE_TAGS | FORMULA_TAGS:
+                return None
+            return self._search(("tag", name), rf"</{name}\s*>", at, re.I)
+        if kind == "fence":
+            mark = t.strip()[0]
+            n = len(t.strip()) - len(t.strip().lstrip(mark))
+            return self._search(("fence", mark, n), rf"^[ ]{{0,3}}{mark}{{{n},}}[ \t]*$", at, re.M)
+        if kind == "tick":
+            n = len(t)
+            found = self._search(("tick", n), rf"(?<!`)`{{{n}}}(?!`)", at)
+        elif kind == "math" and t in ("\\[", "\\("):
+            return self._search(t, re.escape("\\]" if t == "\\[" else "\\)"), at)
+        elif kind == "env" and t.startswith("\\begin"):
+            name = t[t.find("{") + 1 : -1]
+            if name.rstrip("*") not in MATH_ENVIRONMENTS | CODE_ENVIRONMENTS:
+                return None
+            return self._search(("env", name), rf"\\end ?\{{{re.escape(name)}\}}", at)
+        elif kind == "dollar" and len(t) == 2:
+            return self._search("$$", r"\$\$", at)
+        elif kind == "dollar":
+            if at >= len(text) or text[at].isspace():
+                return None
+            found = self._search("$", r"(?<!\\)\$", at)
+            if found is None:
+                return None
+            lo, hi = found
+            if text[lo - 1].isspace() or hi < len(text) and text[hi].isdigit() or not _FORMULA.search(text, at, lo):
+                return None
+        else:
+            return None
+        if found is None or not text[at : found[0]].strip() or "\n\n" in text[at : found[0]]:
+            return None
+        return found
+
+    def brace(self, at: int) -> int | None:
+        """Place of the brace that closes the one at ``at``."""
+        if self._braces is None:
+            self._braces, stack = {}, []
+            for m in _BRACE.finditer(self.text):
+                if m.group() == "{":
+                    stack.append(m.start())
+                elif m.group() == "}" and stack:
+                    self._braces[stack.pop()] = m.start()
+        return self._braces.get(at)
+
+
+def _argument_end(text: str, at: int, closers: _Closers) -> int | None:
+    """End of a formula command whose first brace is at ``at``: all its arguments and scripts."""
+    end = closers.brace(at)
+    while end is not None:
+        nxt = end + 1
+        if nxt < len(text) and text[nxt] in "_^" and nxt + 1 < len(text):
+            nxt += 1
+        if nxt < len(text) and text[nxt] == "{" and (more := closers.brace(nxt)) is not None:
+            end = more
+            continue
+        return end + 1
+    return None
 
 
 def segments(text: str) -> list[Segment]:
     """Delimiters and runs of a text, in order; together they are the whole text."""
-    out, at = [], 0
-    for m in _SEGMENT.finditer(text):
-        if m.start() > at:
-            out.append(Segment("run", text[at : m.start()], at, m.start()))
+    out: list[Segment] = []
+    closers = _Closers(text)
+    ends: dict[int, Segment] = {}  # places of braces that close a command
+    inside = 0  # up to here the braces belong to LaTeX arguments
+    at = pos = 0
+
+    def emit(kind: str, lo: int, hi: int) -> Segment:
+        nonlocal at
+        if lo > at:
+            _split_run(text, at, lo, ends, out)
+        s = Segment(kind, text[lo:hi], lo, hi)
+        out.append(s)
+        at = hi
+        return s
+
+    while (m := _SEGMENT.search(text, pos)) is not None:
         kind = m.lastgroup if m.lastgroup != "arg" else "command"
-        out.append(Segment(kind, m.group(), m.start(), m.end()))
-        at = m.end()
+        lo, hi = m.span()
+        t = m.group()
+        if lo < inside and (t[0] == "{" and kind == "wopen" or t[0] == "}"):
+            pos = lo + 1
+            continue
+        if kind == "command" and t[-1] == "{":
+            name = _command_name(t)
+            if name == "href" and (first := closers.brace(hi - 1)) is not None and text[first + 1 : first + 2] == "{":
+                hi = first + 2
+            elif name not in TEXT_COMMANDS and name not in HEADING_COMMANDS and name not in DROPPED_COMMANDS and (
+                name in COMMANDS or name.startswith("math") or name.startswith("operatorname")
+            ):
+                end = _argument_end(text, hi - 1, closers)
+                if end is not None:
+                    s = emit("command", lo, end)
+                    s.shut = True
+                    pos = end
+                    continue
+            end = closers.brace(hi - 1)
+            s = emit("command", lo, hi)
+            if end is not None:
+                ends[end] = s
+                inside = max(inside, end + 1)
+            pos = hi
+            continue
+        if kind == "group":
+            s = emit(kind, lo, hi)
+            if (end := closers.brace(lo)) is not None:
+                ends[end] = s
+                inside = max(inside, end + 1)
+            pos = hi
+            continue
+        found = closers.of(kind, t, hi)
+        s = emit(kind, lo, hi)
+        pos = hi
+        if found is not None:
+            if found[0] > hi:
+                out.append(Segment("code", text[hi : found[0]], hi, found[0]))
+                at = found[0]
+            e = emit(kind, *found)
+            s.mate, e.mate = e, s
+            s.shut = e.shut = True
+            pos = found[1]
+        elif hi == lo:
+            pos = hi + 1
     if at < len(text):
-        out.append(Segment("run", text[at:], at, len(text)))
+        _split_run(text, at, len(text), ends, out)
+    for i, s in enumerate(out):
+        s.i = i
     return out
 
 
+def _split_run(text: str, lo: int, hi: int, ends: dict[int, Segment], out: list[Segment]) -> None:
+    """A plain run, cut at the braces that close commands."""
+    if ends:
+        for p in sorted(e for e in ends if lo <= e < hi):
+            if p > lo:
+                out.append(Segment("run", text[lo:p], lo, p))
+            b = Segment("brace", "}", p, p + 1)
+            b.mate = ends.pop(p)
+            b.mate.mate = b
+            out.append(b)
+            lo = p + 1
+    if hi > lo:
+        out.append(Segment("run", text[lo:hi], lo, hi))
+
+
 def _match(text: str, segs: list[Segment]) -> None:
-    """Find the mates of delimiters: brackets, tags and environments nest, marks alternate."""
-    stacks: dict[str, list[int]] = {}
-    for i, s in enumerate(segs):
+    """Find the mates of the other delimiters: brackets, tags and environments nest, marks alternate."""
+    stacks: dict[str, list[Segment]] = {}
+
+    def close(key: str, s: Segment) -> None:
+        if stacks.get(key):
+            s.mate = stacks[key].pop()
+            s.mate.mate = s
+
+    for s in segs:
         k, t = s.kind, s.text
+        if s.mate is not None:
+            continue
         if k == "wopen":
-            stacks.setdefault(t[0], []).append(i)
+            stacks.setdefault(t[0], []).append(s)
         elif k == "wclose":
-            st = stacks.get("[" if t[0] == "]" else "{")
-            if st:
-                s.mate, segs[st[-1]].mate = st[-1], i
-                st.pop()
+            close("[" if t[0] == "]" else "{", s)
         elif k == "tag":
-            name = _TAG_NAME.match(t).group(1).lower()
-            if t.startswith("</"):
-                st = stacks.get("<" + name)
-                if st:
-                    s.mate, segs[st[-1]].mate = st[-1], i
-                    st.pop()
+            if t[1] == "/":
+                close("<" + _name(t), s)
             elif not t.endswith("/>"):
-                stacks.setdefault("<" + name, []).append(i)
-        elif k == "math" or k == "env" or k == "fence":
-            close = t in ("\\]", "\\)") or t.startswith("\\end")
-            key = "fence" if k == "fence" else {"\\[": "m[", "\\]": "m[", "\\(": "m(", "\\)": "m("}.get(t, t[t.find("{") :])
-            st = stacks.setdefault(key, [])
-            if k == "fence":
-                close = bool(st)
-            if close and st:
-                s.mate, segs[st[-1]].mate = st[-1], i
-                st.pop()
-            elif not close:
-                st.append(i)
+                stacks.setdefault("<" + _name(t), []).append(s)
+        elif k == "env":
+            name = t[t.find("{") :]
+            if t.startswith("\\end"):
+                close(name, s)
+            else:
+                stacks.setdefault(name, []).append(s)
         elif k in _PAIRED:
             before = text[s.start - 1] if s.start else " "
             after = text[s.end] if s.end < len(text) else " "
-            opens = not after.isspace() and (not before.isalnum() or k in ("tick", "quote", "dollar"))
-            closes = not before.isspace() and (not after.isalnum() or k in ("tick", "quote", "dollar"))
-            if k == "dollar" and len(t) == 2:
-                opens = closes = True
+            opens = not after.isspace() and (k == "quote" or not before.isalnum())
+            closes = not before.isspace() and (k == "quote" or not after.isalnum())
             st = stacks.get(t)
-            if closes and st and "\n\n" not in text[segs[st[-1]].end : s.start]:
-                s.mate, segs[st[-1]].mate = st[-1], i
-                st.pop()
+            if closes and st and "\n\n" not in text[st[-1].end : s.start]:
+                close(t, s)
             elif opens:
-                stacks[t] = [i]
-
-
-def _costs(text: str, segs: list[Segment]) -> None:
-    """Terminal capacities from the kind of a segment, its form and its surroundings."""
-    runs: dict[int, int] = {}
-    last, count, members = None, 0, []
-    # list and row markers gain from neighbours of their kind on the lines around
-    for i, s in enumerate(segs):
-        if s.kind in ("list", "row"):
-            family = "d" if s.text[0] in ";:" else s.kind
-            near = last is not None and text.count("\n", last[1], s.start) <= 1 and last[0] == family
-            if not near:
-                for j in members:
-                    runs[j] = count
-                count, members = 0, []
-            count += 1
-            members.append(i)
-            last = (family, s.end - (1 if s.text.endswith("\n") else 0))
-    for j in members:
-        runs[j] = count
-    for i, s in enumerate(segs):
-        k, t = s.kind, s.text
-        if k == "run":
-            s.markup, s.content = 0, 3
+                stacks[t] = [s]
+
+
+def _siblings(text: str, segs: list[Segment]) -> dict[int, int]:
+    """How many list or row markers of one family stand on neighbouring lines."""
+    count: dict[int, int] = {}
+    group: list[Segment] = []
+    last = None
+
+    def settle() -> None:
+        for s in group:
+            count[s.i] = len(group)
+
+    for s in segs:
+        if s.kind not in ("list", "row"):
             continue
-        if k in ("comment", "fence", "magic", "env", "math", "group", "note", "mdlink", "extlink", "wopen", "wclose", "wtable", "ruler", "heading"):
-            c = _SURE
-            if k == "math" and s.mate < 0 or k == "heading" and t.lstrip()[0] == "#" and "\n" not in text:
-                c = _LIKELY
-            elif k == "wtable" and t in ("!", "|"):
-                c = _SURE if "{|" in text else _NONE
-            elif k == "wclose" and t[0] == "]" and s.mate < 0 or k == "wopen" and t[0] == "[" and s.mate < 0:
-                c = _LIKELY
-            elif k == "wtable" and t[0] != "{" and "{|" not in text:
-                c = _LIKELY
-        elif k == "tag":
-            known = _TAG_NAME.match(t).group(1).lower() in TAGS
-            c = _SURE if known else (_LIKELY if s.mate >= 0 or "=" in t or t.endswith("/>") else _NONE)
-        elif k == "entity":
-            name = t[1:]
-            c = _SURE if name[0] == "#" or name in html5 or name.lower() in html5 else _NONE
-        elif k == "setext":
-            before = text[: s.start - 1].rsplit("\n", 1)[-1].strip()
-            c = _SURE if before and t[0] == "=" else (_LIKELY if before else _WEAK)
-        elif k == "cell":
-            c = _SURE if "{|" in text else _WEAK
-        elif k in ("list", "row"):
-            n = runs.get(i, 1)
-            c = (min(8, 2 * n), 3)
-        elif k == "command":
-            name = t[1:].rstrip("*[{ ")
-            c = _SURE if t[-1] in "{[" or name in COMMANDS and len(name) > 1 else _WEAK
-        elif k == "script":
-            c = _LIKELY
-        elif s.mate >= 0:
-            inside = text[min(s.end, segs[s.mate].end) : max(s.start, segs[s.mate].start)]
-            if not inside.strip():
-                c = _WEAK
-            elif k == "dollar" and len(t) == 1 and not _FORMULA.search(inside):
-                c = _WEAK
-            else:
-                c = (5, 3)
-        elif k == "quote" and len(t) >= 3 or k == "strike" or k == "dollar" and len(t) == 2:
-            c = (4, 3)
-        elif k in ("star", "under") and len(t) == 2 and s.start and not text[s.start - 1].isspace():
-            c = (4, 3)
+        family = "d" if s.text[0] in ";:" else s.kind
+        if last is None or last[0] != family or text.count("\n", last[1], s.start) > 1:
+            settle()
+            group = []
+        group.append(s)
+        last = (family, s.end - (1 if s.text.endswith("\n") else 0))
+    settle()
+    return count
+
+
+def _flags(text: str, s: Segment, near: dict[int, int], wiki_table: bool) -> list[str]:
+    """Properties of a delimiter and its surroundings, by kind."""
+    k, t = s.kind, s.text
+    before = text[s.start - 1] if s.start else " "
+    after = text[s.end] if s.end < len(text) else " "
+    out = ["mate"] if s.mate is not None else ["single"]
+    if k == "tag":
+        out.append("known" if _name(t) in TAGS else "unknown")
+        if "=" in t or t.endswith("/>"):
+            out.append("attr")
+    elif k == "entity":
+        n = t[1:]
+        out.append("number" if n[0] == "#" else "known" if n in html5 or n.lower() in html5 else "unknown")
+    elif k in ("list", "row"):
+        mark = t.strip()[:1]
+        out.append(f"n{min(near.get(s.i, 1), 3)}")
+        out.append("digit" if mark.isdigit() else mark)
+    elif k == "setext":
+        out += [t[0], "under" if text[: s.start - 1].rsplit("\n", 1)[-1].strip() else "alone"]
+    elif k == "heading":
+        out += [t.lstrip()[0], "lines" if "\n" in text else "one"]
+    elif k == "wtable":
+        out += [t[:2].strip(), "table" if wiki_table else "bare"]
+    elif k == "cell":
+        head = text[text.rfind("\n", 0, s.start) + 1 : s.start][:1]
+        out += [t, "table" if wiki_table and head in ("|", "!") else "bare"]
+    elif k == "command":
+        name = _command_name(t) if not s.shut else re.match(r"\\([A-Za-z]*)", t).group(1)
+        known = name in COMMANDS or name in TEXT_COMMANDS or name in HEADING_COMMANDS or name in DROPPED_COMMANDS
+        out.append("known" if known and len(name) > 1 else "unknown")
+        if t[-1] in "{[" or s.shut:
+            out.append("arg")
+    elif k in ("wopen", "wclose", "math"):
+        out.append(t[0] if k != "math" else t[1])
+    elif k in _PAIRED or k in ("tick", "dollar"):
+        out.append(f"len{min(len(t), 3)}")
+        if s.mate is not None:
+            lo, hi = sorted((s, s.mate), key=lambda x: x.start)
+            out.append("filled" if text[lo.end : hi.start].strip() else "empty")
         else:
-            c = _NONE
-        s.markup, s.content = c
+            out.append(("s" if before.isspace() else "w" if before.isalpha() else "d" if before.isdigit() else "p") + "_")
+            out.append("_" + ("s" if after.isspace() else "w" if after.isalpha() else "d" if after.isdigit() else "p"))
+    return out
+
+
+def _features(text: str, segs: list[Segment]) -> list[tuple[str, ...] | None]:
+    """Features of each delimiter (None for runs): its kind, single properties, all of them, and its company."""
+    near = _siblings(text, segs)
+    wiki_table = "{|" in text
+    kinds = {s.kind for s in segs if s.kind not in ("run", "code", "brace", "star", "under", "list", "cell")}
+    out: list[tuple[str, ...] | None] = []
+    for s in segs:
+        if s.kind in ("run", "code", "brace"):
+            out.append(None)
+            continue
+        flags = _flags(text, s, near, wiki_table)
+        company = "company" if kinds - {s.kind} else "lonely"
+        out.append((s.kind, *(f"{s.kind}:{f}" for f in flags), f"{s.kind}={'+'.join(flags)}", company))
+    return out
 
 
-def _shows_text(body: str) -> bool:
-    """Whether a template of this body shows its last parameter: inline, with unnamed parameters."""
-    return "|" in body and "=" not in body and "\n" not in body
+def delimiter_features(text: str) -> list[tuple[int, tuple[str, ...]]]:
+    """(place, features) of each delimiter of a text."""
+    segs = segments(text)
+    _match(text, segs)
+    return [(s.start, f) for s, f in zip(segs, _features(text, segs)) if f is not None]
+
+
+def _hidden(text: str, segs: list[Segment]) -> list[tuple[int, int, Segment]]:
+    """(start, end, construct) of text that shows nothing if its construct is markup."""
+    out: list[tuple[int, int, Segment]] = []
+    stack: list[tuple[Segment, list[int]]] = []
+    for s in segs:
+        if s.kind == "wopen" and s.mate is not None:
+            stack.append((s, []))
+        elif s.kind == "wclose" and s.mate is not None:
+            while stack:
+                opener, bars = stack.pop()
+                if opener is s.mate:
+                    _hide_link(text, opener, bars, out) if opener.text[0] == "[" else _hide_template(text, opener, bars, out)
+                    break
+        elif s.kind == "wopen" and s.text[0] == "{":
+            line = text.find("\n", s.end)
+            bar = text.find("|", s.end, line if line >= 0 else len(text))
+            if bar >= 0:
+                out.append((s.end, bar + 1, s))
+        elif stack and "|" in s.text:
+            at = s.text.find("|")
+            while at >= 0:
+                stack[-1][1].append(s.start + at)
+                at = s.text.find("|", at + 1)
+        elif s.mate is not None and s.mate.start > s.start and (
+            s.kind == "tag" and _name(s.text) in DROPPED_TAGS or s.kind == "command" and _command_name(s.text) in DROPPED_COMMANDS
+        ):
+            out.append((s.end, s.mate.start, s))
+    return out
 
 
-def _dropped_inside(text: str, segs: list[Segment], s: Segment) -> bool:
-    """Constructs whose inside is no content: references, and templates that show no text."""
-    if s.kind == "wopen":
-        return s.text[0] == "{" and not _shows_text(text[s.end : segs[s.mate].start])
-    return s.kind == "tag" and _TAG_NAME.match(s.text).group(1).lower() in ("ref", "script", "style", "gallery", "timeline")
+def _hide_link(text: str, s: Segment, bars: list[int], out: list) -> None:
+    if FILE_LINK.match(text, s.end, s.mate.start):
+        out.append((s.end, s.mate.start, s))
+    elif bars:
+        out.append((s.end, bars[-1] + 1, s))
+
+
+def _hide_template(text: str, s: Segment, bars: list[int], out: list) -> None:
+    """Everything but the text a template shows: named text parameters, else the last unnamed one."""
+    end = s.mate.start
+    shown: list[tuple[int, int]] = []
+    if bars and text.find("\n", s.end, end) < 0:
+        last = None
+        for lo, hi in zip(bars, [*bars[1:], end]):
+            m = _NAMED.match(text, lo + 1, hi)
+            if m is None:
+                last = (lo + 1, hi)
+            elif m.group(1).strip().lower() in TEXT_PARAMETERS:
+                shown.append((m.end(), hi))
+        if not shown and last is not None:
+            shown.append(last)
+    at = s.end
+    for lo, hi in shown:
+        out.append((at, lo, s))
+        at = hi
+    out.append((at, end, s))
+
+
+def _cut_runs(segs: list[Segment], hidden: list[tuple[int, int, Segment]]) -> list[Segment]:
+    """Segments with runs cut at the borders of hidden text; what lies inside knows its construct.
+
+    Of nested constructs the outermost that hides the text owns it.
+    """
+    if not hidden:
+        return segs
+    spans: list[list] = []
+    for lo, hi, s in sorted(hidden, key=lambda x: (x[0], -x[1])):
+        if hi > lo and (not spans or hi > spans[-1][1]):
+            spans.append([max(lo, spans[-1][1]) if spans else lo, hi, s])
+    starts = [x[0] for x in spans]
+    out: list[Segment] = []
+    for s in segs:
+        at = s.start
+        while at < s.end:
+            j = bisect_right(starts, at) - 1
+            covered = j >= 0 and at < spans[j][1]
+            stop = min(s.end, spans[j][1]) if covered else min(s.end, starts[j + 1] if j + 1 < len(starts) else s.end)
+            if s.kind != "run":
+                s.owner = spans[j][2] if covered else None
+                out.append(s)
+                break
+            part = s if (at, stop) == (s.start, s.end) else Segment("run", s.text[at - s.start : stop - s.start], at, stop)
+            part.owner = spans[j][2] if covered else None
+            out.append(part)
+            at = stop
+    for i, s in enumerate(out):
+        s.i = i
+    return out
 
 
 def _edges(text: str, segs: list[Segment]) -> list[dict[int, int]]:
-    """Smoothness: neighbours on a line (1), ends of one construct (3), template insides (4)."""
+    """Smoothness: delimiters near each other on a line, ends of one construct, hidden runs and their construct."""
     near: list[dict[int, int]] = [{} for _ in segs]
 
-    def tie(i, j, w):
-        near[i][j] = near[i].get(j, 0) + w
-        near[j][i] = near[j].get(i, 0) + w
-
-    last = -1
-    inside: list[int] = []  # open constructs whose inside is dropped
-    for i, s in enumerate(segs):
-        if inside and segs[inside[-1]].mate == i:
-            inside.pop()
-        if s.kind == "run":
-            if inside:
-                tie(i, inside[-1], 4)
-                tie(i, segs[inside[-1]].mate, 4)
-        else:
-            if last >= 0 and s.start - segs[last].end <= 24 and "\n" not in text[segs[last].end : s.start]:
-                tie(last, i, 1)
-            last = i
-            if 0 <= s.mate < i:
-                tie(s.mate, i, 3)
-        if s.mate > i and _dropped_inside(text, segs, s):
-            inside.append(i)
+    def tie(a: Segment, b: Segment, w: int) -> None:
+        near[a.i][b.i] = near[a.i].get(b.i, 0) + w
+        near[b.i][a.i] = near[b.i].get(a.i, 0) + w
+
+    last = None
+    for s in segs:
+        if s.kind in ("run", "code"):
+            if s.owner is not None and s.kind == "run":
+                tie(s, s.owner, TIE_INSIDE)
+            continue
+        if last is not None and s.start - last.end <= NEAR and "\n" not in text[last.end : s.start]:
+            tie(last, s, TIE_NEAR)
+        last = s
+        if s.mate is not None and s.mate.start < s.start:
+            tie(s.mate, s, TIE_MATES)
     return near
 
 
@@ -330,184 +603,184 @@ def _max_flow(rest, m, c, near, label) -> None:
         label[i] = i in parent
 
 
-def label_segments(text: str) -> list[Segment]:
-    """Segments of a text with their labels."""
+def label_segments(text: str, model=None) -> list[Segment]:
+    """Segments of a text with their labels (a hidden run has the label of its construct)."""
+    if model is None:
+        from lexloom.llm.markup_model import cost_model
+
+        model = cost_model()
     segs = segments(text)
-    if len(segs) <= 1 and (not segs or segs[0].kind == "run"):
+    if all(s.kind == "run" for s in segs):
         return segs
     _match(text, segs)
-    _costs(text, segs)
-    cut = minimum_cut([s.markup for s in segs], [s.content for s in segs], _edges(text, segs))
+    segs = _cut_runs(segs, _hidden(text, segs))
+    pairs = [(0, 0) if s.kind == "brace" else (0, RUN) if f is None else model.costs(f) for s, f in zip(segs, _features(text, segs))]
+    cut = minimum_cut([p[0] for p in pairs], [p[1] for p in pairs], _edges(text, segs))
     for s, x in zip(segs, cut):
         s.label = x
     return segs
 
 
-def has_markup(text: str | None) -> bool:
+def has_markup(text: str | None, model=None) -> bool:
     """Whether the cut labels any delimiter as markup. Null and empty texts have none."""
-    return bool(text) and any(s.label and s.kind != "run" for s in label_segments(text))
+    return bool(text) and any(s.label and s.kind != "run" for s in label_segments(text, model))
 
 
 _BLOCK = frozenset("p div section article blockquote ul ol dl table tr caption center pre hr br h1 h2 h3 h4 h5 h6 li dt dd".split())
 
 
-def clean_text(text: str | None) -> str | None:
+class _Output:
+    """Printed pieces; code and formulas keep their blanks, other text loses superfluous ones."""
+
+    def __init__(self) -> None:
+        self.parts: list[str] = []
+        self.plain: list[str] = []
+
+    def add(self, t: str) -> None:
+        self.plain.append(t)
+
+    def keep(self, t: str) -> None:
+        self._flush()
+        self.parts.append(t)
+
+    def _flush(self) -> None:
+        if self.plain:
+            t = "".join(self.plain)
+            self.plain = []
+            t = re.sub(r"[ \t]{2,}", " ", t)
+            t = re.sub(r"[ \t]+\n", "\n", t)
+            self.parts.append(re.sub(r"\n{3,}", "\n\n", t))
+
+    def raise_heading(self, level: int) -> None:
+        """Make the last printed line a heading."""
+        line = "".join(self.plain).rstrip("\n")
+        head, nl, last = line.rpartition("\n")
+        self.plain = [f"{head}{nl}{'#' * level} {last}"]
+
+    def text(self) -> str:
+        self._flush()
+        return "".join(self.parts).strip()
+
+
+def clean_text(text: str | None, model=None) -> str | None:
     """Readable text: markup is gone; headings (``#``), list items (``-``), code and formulas stay.
 
-    Null stays null. A text without markup is returned as it is.
+    Null stays null. A text without markup is returned as it is. Text that only tells how a
+    construct is made (link targets, template names, references, scripts) is left out.
     """
     if text is None:
         return None
-    segs = label_segments(text)
+    segs = label_segments(text, model)
     if not any(s.label for s in segs):
         return text
-    out: list[str] = []
-    keep = {"code": 0}
-    skip_until = -1
-    closers: list[str] = []  # what the closing brace of a command prints
-    i = 0
-    while i < len(segs):
-        s = segs[i]
+    out = _Output()
+    for s in segs:
         t, k = s.text, s.kind
-        if i <= skip_until:
-            i += 1
+        if s.owner is not None and s.owner.label:
+            if k == "run" and s.owner.end < s.start and s.owner.mate is not None and s.end < s.owner.mate.start:
+                out.add(" ")  # between two shown parts of a template
             continue
         if k == "run":
-            if not s.label or keep["code"]:
-                out.append(_close_braces(t, closers))
-        elif not s.label:
-            out.append(t)
-        elif k in ("comment", "magic", "note", "ruler", "setext"):
-            if k == "setext" and t[0] == "=":
-                _raise_heading(out, 1)
-        elif k == "entity":
-            u = html.unescape(t)
-            out.append(u if u != t else html.unescape(t.lower()))
-        elif k == "tag":
-            name = _TAG_NAME.match(t).group(1).lower()
-            closing = t.startswith("</")
-            if name in ("code", "pre", "syntaxhighlight", "tt"):
-                fence = "`" if name in ("code", "tt") else "```"
-                out.append(fence if name in ("code", "tt") else f"\n{fence}\n")
-            elif name in ("math", "chem"):
-                out.append("$")
-            elif name in ("ref", "script", "style") and not closing and s.mate > i:
-                skip_until = s.mate
-            elif name == "li" and not closing:
-                out.append("\n- ")
-            elif name[0] == "h" and name[1:].isdigit():
-                out.append("\n" if closing else f"\n{'#' * int(name[1:])} ")
-            elif name in ("td", "th") and not closing:
-                out.append(" ")
-            elif name in _BLOCK:
-                out.append("\n")
-        elif k == "wopen":
-            if s.mate > i:
-                body = text[s.end : segs[s.mate].start]
-                if t[0] == "{" and not _shows_text(body):
-                    skip_until = s.mate
-                elif FILE_LINK.match(body):
-                    skip_until = s.mate
-                elif "|" in body:
-                    # the label starts after the last bar of the link's first run
-                    j = i + 1
-                    if j < s.mate and segs[j].kind == "run" and "|" in segs[j].text:
-                        segs[j].text = segs[j].text.rsplit("|", 1)[1]
-            elif t[0] == "{":
-                # an unclosed template: its name and bar go, the rest is kept
-                j = i + 1
-                if j < len(segs) and segs[j].kind == "run":
-                    head, bar, tail = segs[j].text.partition("|")
-                    segs[j].text = tail if bar and "\n" not in head else segs[j].text
-        elif k == "wclose":
-            pass
-        elif k == "heading":
-            body = t.strip()
-            if body[0] == "=":
-                level = min(len(body) - len(body.lstrip("=")), 6)
-                out.append(f"{'#' * level} {body.strip('= ')}")
+            if not s.label:
+                out.add(t)
+        elif k == "code":
+            opener = segs[s.i - 1]
+            if opener.kind == "tag" and opener.label and _name(opener.text) == "nowiki":
+                out.add(t)
             else:
-                out.append(body + " ")
-        elif k == "fence":
-            out.append("```" + (t.strip().strip("`~") if s.mate > i else ""))
-        elif k == "list":
-            mark = t.strip()
-            out.append("> " if mark[0] == ">" else f"{mark} " if mark[0].isdigit() else "" if mark[0] == ";" else "- ")
-        elif k == "row":
-            out.append(" ".join(x.strip() for x in t.strip().strip("|").split("|")))
-        elif k in ("wtable", "cell"):
-            out.append(" " if k == "cell" else "")
-        elif k == "mdlink":
-            out.append("" if t[0] == "!" else t[1 : t.index("](")])
-        elif k == "extlink":
-            out.append(t[1:-1].partition(" ")[2])
-        elif k == "env":
-            name = t[t.find("{") + 1 : -1].rstrip("*")
-            if name in ("equation", "align", "gather", "math", "displaymath", "eqnarray"):
-                out.append("$$")
-            elif name in ("verbatim", "lstlisting", "minted"):
-                out.append("```")
-        elif k == "math":
-            out.append("$$" if t[1] in "[]" else "$")
-        elif k in ("dollar", "script"):
-            out.append(t)
-        elif k == "tick":
-            out.append(t)
-        elif k == "group":
-            closers.append("")
-        elif k == "command":
-            i = _command(segs, i, out, closers)
-        i += 1
-    joined = "".join(out)
-    joined = re.sub(r"[ \t]{2,}", " ", joined) if "```" not in joined else joined
-    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+\n", "\n", joined)).strip()
-
-
-def _raise_heading(out: list[str], level: int) -> None:
-    body = "".join(out).rstrip("\n")
-    head, nl, line = body.rpartition("\n")
-    out[:] = [f"{head}{nl}{'#' * level} {line}"]
-
-
-def _close_braces(run: str, closers: list[str]) -> str:
-    """A run with the braces that close open commands replaced by what they print."""
-    if not closers or "}" not in run:
-        return run
-    done = []
-    for ch in run:
-        if ch == "}" and closers:
-            done.append(closers.pop())
+                out.keep(t)
+        elif k == "brace":
+            if not s.mate.label:
+                out.add(t)
+            elif s.mate.kind == "command" and _command_name(s.mate.text) in HEADING_COMMANDS:
+                out.add("\n")
+        elif not s.label:
+            out.add(t)
+        else:
+            _print_markup(s, out)
+    return out.text()
+
+
+def _print_markup(s: Segment, out: _Output) -> None:
+    """What a labelled delimiter leaves in the text."""
+    t, k = s.text, s.kind
+    if k == "setext":
+        out.raise_heading(1 if t[0] == "=" else 2)
+    elif k == "entity":
+        u = html.unescape(t)
+        out.add(u if u != t else html.unescape(t.lower()))
+    elif k == "tag":
+        _print_tag(s, out)
+    elif k == "heading":
+        body = t.strip()
+        if body[0] == "=":
+            level = min(len(body) - len(body.lstrip("=")), 6)
+            out.add(f"{'#' * level} {body.strip('= ')}")
         else:
-            done.append(ch)
-    return "".join(done)
-
-
-def _command(segs: list[Segment], i: int, out: list[str], closers: list[str]) -> int:
-    t = segs[i].text
-    name = t[1:].rstrip("*[{ ")
-    if name == "item":
-        out.append("- ")
-    elif name in ("section", "subsection", "subsubsection", "chapter", "part", "paragraph", "title"):
-        out.append(f"\n{'###' if name.startswith('subsub') else '##' if name.startswith('sub') else '#'} ")
-        if t.endswith("{"):
-            closers.append("\n")
-    elif name in ("cite", "ref", "label", "pageref", "footnote", "includegraphics", "vspace", "hspace", "index"):
-        if t.endswith("{") and i + 1 < len(segs) and segs[i + 1].kind == "run":
-            segs[i + 1].text = segs[i + 1].text.partition("}")[2]
-    elif name in ("quad", "qquad", "noindent", "newline", "par"):
-        out.append(" ")
-        if t.endswith("{"):
-            closers.append("")
-    elif name in ("ldots", "dots", "cdots"):
-        out.append("…")
-        if t.endswith("{"):
-            closers.append("")
-    elif name.startswith("text") or name in ("emph", "underline", "mbox", "uline") or not t.endswith("{") and name in ("it", "bf", "em", "tt", "small", "large"):
-        if t.endswith("{"):
-            closers.append("")
+            out.add(body + " ")
+    elif k == "fence":
+        mark = "`" * max(3, len(t.strip()) - len(t.strip().lstrip(t.strip()[0])))
+        out.keep(mark + ("" if s.mate is not None and s.mate.start < s.start else t.strip().strip("`~")))
+    elif k == "list":
+        mark = t.strip()
+        out.add("> " if mark[0] == ">" else f"{mark} " if mark[0].isdigit() else "" if mark[0] == ";" else "- ")
+    elif k == "row":
+        out.add(" | ".join(x.strip() for x in t.strip().strip("|").split("|")))
+    elif k == "cell":
+        out.add(" | ")
+    elif k == "mdlink":
+        out.add(t[t.index("[") + 1 : t.index("](")])
+    elif k == "extlink":
+        out.add(t[1:-1].partition(" ")[2])
+    elif k == "env":
+        name = t[t.find("{") + 1 : -1].rstrip("*")
+        if name in MATH_ENVIRONMENTS:
+            out.keep("$$")
+        elif name in CODE_ENVIRONMENTS:
+            out.keep("```")
+    elif k == "math":
+        out.keep("$$" if t[1] in "[]" else "$")
+    elif k in ("dollar", "tick"):
+        out.keep(t) if s.shut else out.add(t if k == "dollar" else "")
+    elif k == "script":
+        out.keep(t)
+    elif k == "command":
+        _print_command(s, out)
+
+
+def _print_tag(s: Segment, out: _Output) -> None:
+    t = s.text
+    name, closing = _name(t), t[1] == "/"
+    if name in FORMULA_TAGS and s.shut:
+        out.keep("$")
+    elif name in CODE_TAGS and s.shut and name != "nowiki":
+        inline = name in ("code", "tt")
+        out.keep("`" if inline else "\n```" if closing else "```\n" if not out.parts and not out.plain else "\n```\n")
+    elif name == "li" and not closing:
+        out.add("\n- ")
+    elif len(name) == 2 and name[0] == "h" and name[1].isdigit():
+        out.add("\n" if closing else f"\n{'#' * int(name[1])} ")
+    elif name in ("td", "th") and closing:
+        out.add(" | ")
+    elif name in _BLOCK:
+        out.add("\n")
+
+
+def _print_command(s: Segment, out: _Output) -> None:
+    t = s.text
+    name = _command_name(t)
+    if s.shut:
+        out.keep(t)
+    elif name == "item":
+        out.add("- " if t[-1] != "[" else "- [")
+    elif name in HEADING_COMMANDS:
+        out.add(f"\n{'#' * HEADING_COMMANDS[name]} ")
+    elif name in SPACE_COMMANDS:
+        out.add(SPACE_COMMANDS[name])
+    elif name in TEXT_COMMANDS or name in DROPPED_COMMANDS or t[-1] == "{" and s.mate is not None:
+        pass
     else:
-        out.append(t)  # part of a formula
-    return i
+        out.keep(t)  # a sign of a formula
 
 
 # --- DataFrames ------------------------------------------------------------------------
@@ -533,7 +806,10 @@ def _texts(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _map_texts(df: DataFrame, fn, out: str, kind: str) -> DataFrame:
-    """``fn`` of each body (text, or a zlib stream of it) by Arrow batches."""
+    """``fn`` of each body (text, or a zlib stream of it) and of the fitted model, by Arrow batches."""
+    from lexloom.llm.markup_model import cost_model
+
+    model = cost_model()  # fitted on the driver, sent along with the function
 
     def run(batches):
         import pyarrow as pa
@@ -542,7 +818,7 @@ def _map_texts(df: DataFrame, fn, out: str, kind: str) -> DataFrame:
             body = b.column(2).to_pylist()
             if pa.types.is_binary(b.schema.field(2).type):
                 body = [_inflate(x) for x in body]
-            made = pa.array([fn(x) for x in body], pa.bool_() if kind == "boolean" else pa.string())
+            made = pa.array([fn(x, model) for x in body], pa.bool_() if kind == "boolean" else pa.string())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), made], names=["table_name", "record_key", out])
 
     return df.mapInArrow(run, f"table_name string, record_key string, {out} {kind}")

@@ -6,14 +6,15 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexloom.llm import bpe_fst, formatting_copies, groups, irep, leakage, lookalikes, markup, quality, textwords, tokenize
+from lexloom.llm import bpe_fst, formatting_copies, groups, irep, leakage, lookalikes, markup, markup_model, quality, textwords, tokenize
 from lexloom.runtime import Workspace
 
 MARKED = [
     "a <b>x</b> c", "a</div> b", "a &nbsp; b", "a [[b|c]] d", "a [[b", "a {{b| c", "''a'' b", "a **b** c", "_a_ b", "`a` b", "~~a~~ b",
     "[a](#b) c", "a [^1] b", "a $x^2$ b", "a \\textbf{b} c", "a \\alpha_{0} b", "x.\n== T ==\n# a\n# b", "x.\n\n## T\n\n- a\n- b",
     "x.\n\nT\n====\na", "x.\n| a | b |\n|---|---|\n| 1 | 2 |", "x.\n;a\n:b", "x.\n> a\n> b", "<!-- a --> b", "__NOTOC__ a", "a <font color=red>b",
-    "```\ncode\n```", "x\n\\begin{itemize}\n\\item a\n\\end{itemize}",
+    "```\ncode\n```", "x\n\\begin{itemize}\n\\item a\n\\end{itemize}", "a <img\nsrc=x\nalt=y> b", '<span data-x="' + "y" * 900 + '">z</span>',
+    "a **b* c* d", "&#" + "0" * 30 + "65; a", "a ```b` — c` d", "''''' a'' b'''",
 ]
 PLAIN = [
     "t >30° и <40°", "a == b", "[ср. выше] x", "a \\ b", "(*) a", "№ #3 a", "<и> — <э>", "5 * 3 = 15", "*е > о", "[0; 1) или {0}",
@@ -31,6 +32,42 @@ def test_notation_is_left_alone(text):
     assert not markup.has_markup(text) and markup.clean_text(text) == text
 
 
+CLEANED = [
+    (r"Формула $\frac{{a}}{{b}}$ конец", r"Формула $\frac{{a}}{{b}}$ конец"), ("$x_{{i}}$", "$x_{{i}}$"), ("`[[x]]`", "`[[x]]`"),
+    ("<pre>if (a < b) { x[[1]] = {{y}} }</pre>", "```\nif (a < b) { x[[1]] = {{y}} }\n```"), (r"\textbf{a {x} b} c", "a {x} b c"),
+    (r"a\footnote{note {x} y} b", "a b"), ("![alt text](u.png)", "alt text"), ("{{cite|title=Foo|text=Important text}}", "Foo Important text"),
+    ('<a title="a>b">c</a>', "c"), ("{|\n! A !! B\n|-\n| c || d\n|}", "A | B\n\n c | d"), ("a   b\n\n\n\n```\nx   y\n```\nc    d\n\n\n\ne", "a b\n\n```\nx   y\n```\nc d\n\ne"),
+    (r"\href{http://a}{text} b", "text b"), ("[[Файл:x.png|мини|подпись]] a", "a"), ("a {{b| c", "a c"), (r"{\it курсив} прямой", "курсив прямой"),
+    ("\\begin{equation}\nE = mc^2\n\\end{equation}\nтекст", "$$\nE = mc^2\n$$\nтекст"), ("<nowiki>[[x]]</nowiki> ''y''", "[[x]] y"),
+    (r"a \frac{1}{2} b", r"a \frac{1}{2} b"), ("a<ref>прим. [[x]]</ref> b", "a b"), ("T\n====\nx", "# T\nx"), ("T\n----\nx", "## T\nx"),
+    ("<ul><li>a</li><li>b</li></ul>", "- a\n\n- b"), ("````\n```\na\n```\n````", "````\n```\na\n```\n````"), ("<h2>T</h2>a", "## T\na"), (r"\title{A {B} C} d", "# A {B} C\n d"),
+    ("<script>if (a<b) {}</script> x", "x"), ("1. a\n2. b\n3. c", "1. a\n2. b\n3. c"), ("&lt;b&gt; x", "<b> x"),
+]
+
+
+@pytest.mark.parametrize("text,clean", CLEANED)
+def test_clean_text_of_constructs(text, clean):
+    assert markup.clean_text(text) == clean
+
+
+def test_cost_model_on_texts_it_has_not_seen():
+    model = markup_model.cost_model()
+    right = total = 0
+    for text, spans in markup_model.sample(seed=99, size=1500):
+        for s in markup.label_segments(text, model):
+            if s.kind not in ("run", "code", "brace"):
+                total += 1
+                right += s.label == any(a <= s.start < b for a, b in spans)
+    assert right / total > 0.96
+
+
+def test_the_cut_decides_where_costs_do_not():
+    """A mark of its own is left alone; tied to a sure construct beside it, it goes with it."""
+    model = markup_model.cost_model()
+    segs = markup.label_segments("a {{x|b [[c|d]] e}} f", model)
+    assert [s.text for s in segs if s.kind == "run" and s.label] == ["x|", "c|"]
+
+
 def test_clean_text_keeps_structure():
     c = markup.clean_text
     assert c("x.\n== T ==\n* a\n* b") == "x.\n## T\n- a\n- b"
