@@ -74,6 +74,22 @@ def bind(fields: dict[str, Column], body) -> Column:
     return F.transform(F.array(row), body)[0]
 
 
+def keep_rows(df, condition: Column):
+    """``df.where(condition)`` that stays where it is.
+
+    A filter is pushed below the projections that compute its columns and evaluates them a
+    second time; so is what an inner generator implies. Nothing is pushed below an outer one.
+    """
+    names = [F.col(f"`{c}`") for c in df.columns]
+    hit = F.when(condition, F.array(F.lit(True)))
+    return df.select(*names, F.explode_outer(hit).alias("_kept")).where("_kept").drop("_kept")
+
+
+def unnest(df, items: Column, name: str, *columns: str):
+    """``columns`` and one row for each item of an array that is computed once (see :func:`keep_rows`); items are not null."""
+    return df.select(F.explode_outer(items).alias(name), *columns).where(F.col(name).isNotNull())
+
+
 def casefold(c: Column) -> Column:
     return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
 
@@ -82,6 +98,51 @@ def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, WS, " "))
 
 
+def strip(c: Column) -> Column:
+    """Without white space at both ends (Unicode blanks too)."""
+    return F.regexp_replace(c, f"^{WS}|{WS}$", "")
+
+
+def strip_chars(c: Column, chars: str) -> Column:
+    """Without any of ``chars`` at both ends; a hyphen must come last."""
+    return F.regexp_replace(c, f"^[{chars}]+|[{chars}]+$", "")
+
+
+def capital(c: Column) -> Column:
+    """The first letter in upper case."""
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, F.lit(2), F.length(c)))
+
+
+def leading_group(text: Column) -> Column:
+    """``struct(meta, rest)`` of a text that begins with a balanced bracket of any depth, else null.
+
+    Both parts have collapsed blanks; ``rest`` has no blanks or ``,;:`` and dashes before it.
+    Null as well if a part is empty. Only texts that begin with a bracket are scanned.
+    """
+    t = F.regexp_replace(text, f"^{WS}", "")
+    first = F.substring(t, 1, 1)
+
+    def scan(chars: Column, opening: str, closing: str) -> Column:
+        start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end"))
+
+        def step(a: Column, c: Column) -> Column:
+            depth = a["depth"] + F.when(c == opening, 1).when(c == closing, -1).otherwise(0)
+            here = a["at"] + 1
+            end = F.when((c == closing) & (depth == 0), here).otherwise(0)
+            return F.when(a["end"] > 0, a).otherwise(F.struct(depth.alias("depth"), here.alias("at"), end.alias("end")))
+
+        return F.aggregate(chars, start, step, lambda a: a["end"])
+
+    end = F.when(first == "(", scan(F.split(t, ""), "(", ")")).when(first == "[", scan(F.split(t, ""), "[", "]"))
+
+    def parts(s: Column) -> Column:
+        meta = collapse(F.substring(s["t"], F.lit(2), s["end"] - 2))
+        rest = F.regexp_replace(collapse(F.substring(s["t"], s["end"] + 1, F.length(s["t"]))), "^[ ,;:—–-]+", "")
+        return F.when((s["end"] > 0) & (meta != "") & (rest != ""), F.struct(meta.alias("meta"), rest.alias("rest")))
+
+    return F.when(first.isin("(", "["), bind({"t": t, "end": end}, parts))
+
+
 def _fold_signs(c: Column, dashes: str) -> Column:
     return F.translate(c, dashes + KEY_BLANKS, "-" * len(dashes) + " " * len(KEY_BLANKS))
 

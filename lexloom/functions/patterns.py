@@ -25,6 +25,27 @@ FORM_OF = (
     r"^\s*(?:(?:именительный|родительный|дательный|винительный|творительный|предложный)\s+падеж|"
     r"(?:единственное|множественное)\s+число)(?:[^\p{L}\p{N}_].{0,90}?)?[^\p{L}\p{N}_](?:слова|лексемы)\s+" + QUOTED_TARGET,
 )
+#: A gloss that is only grammar although it names no single target word (whole text).
+GRAMMAR = (
+    r"^(?:(?:форма|словоформа)\s+(?:глагола|существительного|прилагательного|причастия|деепричастия|местоимения|"
+    r"числительного|наречия)\s+(?:от\s+(?:слова|лексемы)\s+)?[«\"']?[A-Za-zА-Яа-яЁёІіѢѣѲѳѴѵ-]+[»\"']?[.!]?"
+    r"|(?:форма|словоформа)(?:[^\p{L}\p{N}_].{0,119})?[^\p{L}\p{N}_](?:слова|лексемы)\s+[«\"']?[A-Za-zА-Яа-яЁёІіѢѣѲѳѴѵ-]+[»\"']?[.!]?"
+    r"|(?:(?:именительный|родительный|дательный|винительный|творительный|предложный)\s+падеж|"
+    r"(?:единственное|множественное)\s+число)(?:[^\p{L}\p{N}_].{0,99})?[^\p{L}\p{N}_](?:слова|лексемы)\s+"
+    r"[«\"']?[A-Za-zА-Яа-яЁёІіѢѣѲѳѴѵ-]+[»\"']?[.!]?)$"
+)
+#: Parts of a text one of which every grammar gloss holds (lower case).
+GRAMMAR_HINTS = ("прич", "падеж", "словоформ", "склон", "спряж", "форма ", " вр. ")
+
+#: Stems of subject names in a bracket that only tells the field.
+DOMAIN_ROOTS = (
+    "земельн прав юрид физик математ хим медиц биолог геол геодез электр электрон механ техник инженер строит металлург "
+    "энерг информат програм компьют телеком эконом финанс банк бухгалт авиа морск железнодорож автомоб воен криминал "
+    "лингв языкозн философ психол социол статист метрол стандарт оптик акуст гидравл пневмат теплотех криоген лазер "
+    "полупровод ядерн квант фарм анатом физиол диагност терап хирург эколог астроном косм материаловед нефт газов горн "
+    "сельск агрон"
+).split()
+CONTEXT_STARTS = ("в", "во", "для", "при")
 
 ONOMASTIC = (
     r"^(?:(?:мужское|женское|личное|русское|греческое|английское|еврейское|арабское|индийское|японское|узбекское|"
@@ -42,12 +63,22 @@ ONOMASTIC = (
 CONCISE = (
     r"^[A-Za-zА-Яа-яЁёІіѢѣѲѳѴѵ0-9«»'’.-]+(?:[ ,—–/-]+[A-Za-zА-Яа-яЁёІіѢѣѲѳѴѵ0-9«»'’.-]+){0,5}[.!]?$"
 )
-ALIAS = (
-    r"^(?:то\s+же,?\s+что(?:\s+и)?|см\.?|вариант\s+(?:написания|названия|именования|формы|имени)|устар\.?\s+вариант|"
-    r"гипокор\.?\s+к|уменьш\.?\s+к|димин\.?\s+к|к)\s+.*[\p{L}].*$",
-    r"^вариант\s+[^\s,;:()]{2,100}[.!]?$",
+ALIAS_BEGIN = r"^(?:то\s+же|см|вариант|устар|гипокор|уменьш|димин|к\s)"
+ALIAS_PREFIX = (
+    r"^(то\s+же,?\s+что(?:\s+и)?|см\.?|вариант\s+(?:написания|названия|именования|формы|имени)|устар\.?\s+вариант|"
+    r"гипокор\.?\s+к|уменьш\.?\s+к|димин\.?\s+к|к)\s+(.+?)\s*[.!]?$"
 )
-ALIAS_PROSE = r"^вариант\s+формы\s+\S+(?:\s+\S+){4,}$"
+ALIAS_BARE = r"^вариант\s+([^\s,;:()]{2,100})[.!]?$"
+ALIAS_POS = r"^(?:(?:прил|сущ|нареч|гл|глаг|местоим|числ|имя|существительному|прилагательному|аббревиатуре)\.?\s+)+"
+ALIAS_CLASS = (
+    r"(?iu)^(?:город|село|деревня|пос[ёе]лок|река|озеро|гора|остров|полуостров|регион|область|провинция|кантон|штат|страна|"
+    r"государство|столица|курорт|вулкан|мужское\s+имя|женское\s+имя|фамилия|отчество|термин|название|набор|система|"
+    r"устройство|программа|праздник|персонаж|явление)(?:[^\p{L}\p{N}_]|$)"
+)
+ALIAS_NAMED = (
+    r"^.*?([А-ЯЁ][А-Яа-яЁёІіѢѣѲѳѴѵ'’.-]{1,80}(?:\s+[А-ЯЁ][А-Яа-яЁёІіѢѣѲѳѴѵ'’.-]{1,80})?)(?:\s*,.*)?$"
+)
+ALIAS_LIST = r"(?iu)^[A-Za-zА-Яа-яЁёІіѢѣѲѳѴѵ'’.-]+(?:\s+и\s+[A-Za-zА-Яа-яЁёІіѢѣѲѳѴѵ'’.-]+){1,3}$"
 VAGUE = (
     r"^(?:свойство|способность|явление|процесс).{0,130}[^\p{L}\p{N}_]"
     r"(?:не\s+сразу|каким-либо\s+образом|каким-либо\s+способом)(?:[^\p{L}\p{N}_]|$)"
@@ -108,6 +139,13 @@ LABELS = (
     "возвыш офиц канц публиц проф жарг сленг детск охотн рыб кулин текст типогр телеком прогр инж мех букв ласк "
     "пренебр уничиж эвф груб фольк народн адъектив субстантив предикатив"
 ).split()
+#: Year numbers that prose may mention; not part of a name, a version or a range.
+YEAR_TOKEN = r"(?<![A-Za-zА-Яа-яЁё0-9/_-])(?:1[5-9]\d{2}|20\d{2})(?![A-Za-zА-Яа-яЁё0-9/_+-])"
+#: What makes a year a model number, right before it.
+MODEL_BEFORE = r"(?:модел[ьи]|индекса?|типа?|серии)\s+[a-zа-яё0-9./+-]*$"
+WIKI_HISTORY_WORDS = (
+    "выпуск|производ|разработ|создан|основан|открыт|запущ|поступил|принят|построен|представлен|действовал|издавал"
+)
 PLACEHOLDERS = ("?", "-", "--", "нет значения", "значение не указано", "значение неизвестно")
 PARTICIPLE_ENDINGS = ("ённый", "енный", "анный", "янный", "нутый", "тый", "нный")
 EXTRACT_GRAMMAR = (

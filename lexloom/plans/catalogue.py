@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from lexloom.functions import native
 from lexloom.functions import patterns as P
 from lexloom.functions import rules
-from lexloom.operators import articles, coverage, dedupe, forms, graph, quality
-from lexloom.runtime import Workspace
+from lexloom.operators import aliases, articles, coverage, dedupe, forms, graph, quality
+from lexloom.runtime import Workspace, spread
 from lexloom.sources import packs, rejects, wiki
 from lexloom.sources.tables import table
 
@@ -112,45 +112,123 @@ def _sql_count(x: str, c: str) -> str:
     return f"(length({x}) - length(replace({x}, {_q(c)}, '')))"
 
 
+def _sql_word_end(words: str) -> str:
+    return f"(?:^|[^\\p{{L}}\\p{{N}}_])(?:{words})"
+
+
+def _sql_trim(x: str, chars: str = "") -> str:
+    """Blanks (or the given characters) off both ends."""
+    c = f"[{chars}]+" if chars else native.WS
+    return f"regexp_replace({x}, {_q(f'^{c}|{c}$')}, '', 'g')"
+
+
+def _sql_compact(x: str) -> str:
+    t = _sql_trim(f"coalesce({x}, '')")
+    return f"case when regexp_matches({t}, {_q('  |[' + chr(92) + 'n' + chr(92) + 'r' + chr(92) + 't]')}) then {_sql_collapse(t)} else {t} end"
+
+
+def _sql_head(x: str) -> str:
+    return _sql_trim(_sql_casefold(_sql_collapse(_sql_fold(f"coalesce({x}, '')", native.KEY_DASHES))), " .,:;—–-")
+
+
+def _sql_plain_key(x: str) -> str:
+    return _sql_collapse(_sql_fold(x, native.KEY_DASHES))
+
+
+def _sql_years(x: str) -> str:
+    """Years of prose: those of models are taken out, and single separators doubled, as RE2 cannot look around."""
+    no_models = f"regexp_replace({x}, '(?i)((?:модел[ьи]|индекса?|типа?|серии)\\s+[a-zа-яё0-9./+-]*)(?:1[5-9]\\d\\d|20\\d\\d)', '\\1 ', 'g')"
+    apart = f"regexp_replace({no_models}, '([^A-Za-zА-Яа-яЁё0-9/_+-])', '\\1\\1', 'g')"
+    return f"regexp_extract_all({apart}, '(?:^|[^A-Za-zА-Яа-яЁё0-9/_-])(1[5-9]\\d\\d|20\\d\\d)(?:[^A-Za-zА-Яа-яЁё0-9/_+-]|$)', 1)"
+
+
+#: Alias formulas of ``base(seq, lemma, src, text)`` as ``formulas(seq, kind, candidates, tail, body)``.
+_SQL_FORMULAS = f"""
+fa as (
+  select seq, text, regexp_matches(text, {_q('(?i)' + P.ALIAS_PREFIX)}) as full_, regexp_matches(text, {_q('(?i)' + P.ALIAS_BARE)}) as bare_ from base
+), fb as (
+  select seq, case when full_ then {_sql_casefold(_sql_collapse(f"regexp_extract(text, {_q('(?i)' + P.ALIAS_PREFIX)}, 1)"))} else 'вариант' end as kind,
+    not full_ as bare,
+    {_sql_trim(_sql_collapse(f"case when full_ then regexp_extract(text, {_q('(?i)' + P.ALIAS_PREFIX)}, 2) else regexp_extract(text, {_q('(?i)' + P.ALIAS_BARE)}, 1) end"), " .;:—–-")} as body0
+  from fa where full_ or bare_
+), fc as (
+  select seq, kind, bare, {_sql_trim(f"regexp_replace(body0, {_q('(?i)' + P.ALIAS_POS)}, '')")} as body
+  from fb where body0 <> '' and not (starts_with(kind, 'вариант формы') and len(string_split(body0, ' ')) > 4)
+), fd as (
+  select *, case when regexp_matches(kind, '^вариант (названия|именования|написания|имени)') then {_sql_trim(f"regexp_extract(body, {_q(P.ALIAS_NAMED)}, 1)")} else '' end as named,
+    {_sql_trim("split_part(body, ';', 1)")} as ls, {_sql_trim("substring(body, instr(body, ';') + 1)")} as rs,
+    {_sql_trim("split_part(body, ',', 1)")} as lc, {_sql_trim("substring(body, instr(body, ',') + 1)")} as rc,
+    split_part(body, ' ', 1) as lw, {_sql_trim("substring(body, length(split_part(body, ' ', 1)) + 2)")} as rw
+  from fc where body <> ''
+), fe as (
+  select *, case when named <> '' then 'named'
+    when contains(body, ';') then case when ls <> '' and rs <> '' then 'semicolon'
+      when starts_with(kind, 'то же') and regexp_matches(rw, {_q(P.ALIAS_CLASS.replace('(?iu)', '(?i)'))}) and not contains(lw, ';') and {_sql_valid(_sql_plain_key('lw'))} then 'word' else '' end
+    when contains(body, ',') and regexp_matches(rc, {_q(P.ALIAS_CLASS.replace('(?iu)', '(?i)'))}) then 'comma'
+    when starts_with(kind, 'то же') and regexp_matches(rw, {_q(P.ALIAS_CLASS.replace('(?iu)', '(?i)'))}) and {_sql_valid(_sql_plain_key('lw'))} then 'word'
+    else '' end as way from fd
+), ff as (
+  select seq, kind, bare, body,
+    case way when 'named' then named when 'semicolon' then ls when 'comma' then lc when 'word' then lw else body end as target,
+    case way when 'semicolon' then rs when 'comma' then rc when 'word' then rw else '' end as tail
+  from fe
+), fg as (
+  select seq, kind, tail, body, case when bare then [target]
+    when starts_with(kind, 'см') and regexp_matches(target, {_q(P.ALIAS_LIST.replace('(?iu)', '(?i)'))}) then regexp_split_to_array(target, '(?i)\\s*,\\s*|\\s+или\\s+|\\s+и\\s+')
+    when regexp_matches(kind, '^(к|гипокор|уменьш|димин|см)') then regexp_split_to_array(target, '(?i)\\s*,\\s*|\\s+или\\s+')
+    when starts_with(kind, 'то же') then string_split(target, ',') else [target] end as words
+  from ff
+), fh as (
+  select seq, kind, tail, body, list_filter(list_transform(words, lambda w: {_sql_plain_key(_sql_trim(_sql_trim('w'), " .;:—–-"))}), lambda k: {_sql_valid('k')}) as candidates from fg
+), formulas as (select seq, kind, candidates, tail, body from fh where len(candidates) > 0 or tail <> '')
+"""
+
+
 def _sql_flags() -> str:
-    t, low, plain = "text", "low", "plain"
-    edge = f"""({_sql_count(t, '"')} % 2 = 1 and ({_sql_m(t, chr(40) + '?:^|[' + chr(92) + 's.,;:!?)' + chr(92) + ']}])"$')} or {_sql_m(t, '^"(?:$|[' + chr(92) + 'p{L}' + chr(92) + 's])')}))"""
+    t = "text"
+    edge = f"""(({_sql_count(t, '"')} % 2 = 1 and ({_sql_m(t, chr(40) + '?:^|[' + chr(92) + 's.,;:!?)' + chr(92) + ']}])"$')} or {_sql_m(t, '^"(?:$|[' + chr(92) + 'p{L}' + chr(92) + 's])')}))"""
     for a, b in (("«", "»"), ("„", "“"), ("“", "”"), ("‘", "’")):
         edge += f" or ({_sql_count(t, a)} > {_sql_count(t, b)} and starts_with({t}, {_q(a)}))"
         edge += f" or ({_sql_count(t, b)} > {_sql_count(t, a)} and ends_with({t}, {_q(b)}))"
+    edge += ")"
+    linked = "regexp_replace(text, '\\[\\[(?:[^\\]|]+\\|)?([^\\]]+)\\]\\]', '\\1', 'g')"
+    hints = " or ".join(f"contains(low, {_q(h)})" for h in P.GRAMMAR_HINTS)
+    modern = lambda x: f"translate({x}, 'ѣі', 'еи')"
+    left = _sql_head(f"regexp_extract(text, {_q('(?i)' + P.OLD_EQUIVALENCE.replace('^.{1,120}?', '^(.{1,120}?)'))}, 1)")
     flags = {
         "very_short": "n < 8 and not onomastic and not concise",
         "very_long": "n > 520",
-        "grammar_residue": " or ".join(_sql_like(t, p) for p in P.FORM_OF),
-        "markup_residue": _sql_like(t, P.MARKUP),
-        "leading_parenthetical": _sql_m(t, P.LEADING_BRACKETS),
+        "grammar_residue": f"({hints}) and (" + " or ".join(_sql_like(linked, p) for p in P.FORM_OF) + f" or {_sql_like(t, P.GRAMMAR)})",
+        "markup_residue": f"contains(text, '{{{{') or contains(text, '[[') or (contains(text, '<') and contains(text, '>') and {_sql_like(t, P.MARKUP)})",
+        "leading_parenthetical": "group_end > 0 and trim(substring(text, 2, group_end - 2)) <> '' and regexp_matches(substring(text, group_end + 1), '[^ ,;:—–-]')",
         "vague": _sql_like(t, P.VAGUE),
         "early_self_reference": "selfref and not concise and not onomastic",
         "example_residue": _sql_m(t, P.EXAMPLE),
         "placeholder_definition": "n <= 80 and meta",
         "fragment": "n <= 100 and frag",
-        "old_equivalence_placeholder": f"{_sql_m('src', P.OLD_SOURCES)} and {_sql_like(t, P.OLD_EQUIVALENCE)}",
+        "old_equivalence_placeholder": f"{_sql_m('src', P.OLD_SOURCES)} and {_sql_like(t, P.OLD_EQUIVALENCE)} and {left} <> '' and head <> '' and {modern(left)} = {modern('head')}",
         "url_residue": _sql_like(t, P.URL),
         "redirect_residue": "redirect",
         "about_fragment": "n <= 100 and about",
         "bad_residue": f"{_sql_m(t, P.RESIDUE)} or {edge}",
     }
     any_flag = " or ".join(f"({v})" for v in flags.values())
-    head = f"regexp_replace({_sql_casefold(_sql_collapse(chr(99) + 'oalesce(lemma, ' + chr(39) * 2 + ')'))}, '^[ .,:;—–-]+|[ .,:;—–-]+$', '', 'g')"
     return f"""
 base as (
-  select seq, lemma, source, coalesce(source, '') as src, {_sql_collapse("coalesce(definition, '')")} as text from senses
-), p1 as (
-  select *, length(text) as n, {_sql_casefold('text')} as low, regexp_replace(text, '[{native.STRESS}]', '', 'g') as plain,
-         {head} as head, regexp_replace({_sql_casefold('text')}, '^это ', '') as lowp,
-         regexp_replace(text, '\\s*\\([^()]{{1,40}}\\)\\s*[.!]?$', '') as probe
-  from base
+  select seq, lemma, source, coalesce(source, '') as src, {_sql_compact("definition")} as text from senses
+), {_SQL_FORMULAS}, p1 as (
+  select base.*, length(text) as n, {_sql_casefold('text')} as low, {_sql_head('lemma')} as head,
+         translate(regexp_replace(text, '[{native.STRESS}]', '', 'g'), {_q(native.STRESSED)}, {_q(native.UNSTRESSED)}) as plain,
+         regexp_replace({_sql_casefold('text')}, '^это ', '') as lowp, formulas.seq is not null as redirect,
+         {_sql_trim("regexp_replace(text, '" + chr(92) + "s*" + chr(92) + "([^()]{1,40}" + chr(92) + ")" + chr(92) + "s*[.!]?$', '')")} as probe0,
+         coalesce(case when text[1] in ('(', '[') then list_position(list_transform(generate_series(1, length(text)),
+           lambda i: length(replace(text[:i], if(text[1] = '(', ')', ']'), '')) - length(replace(text[:i], text[1], ''))), 0) end, 0) as group_end
+  from base left join formulas using (seq)
 ), p2 as (
-  select *, (n <= 140 and ({' or '.join(_sql_like(plain, p) for p in P.ONOMASTIC)})) as onomastic,
-         (({_sql_like(t, P.ALIAS[0])} or {_sql_like(t, P.ALIAS[1])}) and not {_sql_like(t, P.ALIAS_PROSE)}) as redirect,
-         {_sql_m(low, P.ABOUT)} as about, {_sql_like(t, P.EMPTY_META)} as meta, {_sql_like(t, P.FRAGMENT)} as frag,
+  select *, (n <= 140 and ({' or '.join(_sql_like('plain', p) for p in P.ONOMASTIC)})) as onomastic, if(probe0 = '', text, probe0) as probe,
+         {_sql_m('low', P.ABOUT)} as about, {_sql_like(t, P.EMPTY_META)} as meta, {_sql_like(t, P.FRAGMENT)} as frag,
          (length(head) >= 4 and starts_with(lowp, head) and
-           (substring(lowp, length(head) + 1, 1) in ('', '—', '–', ':', '-') or regexp_matches(substring(lowp, length(head) + 1, 1), '\\s'))) as selfref
+           (substring(lowp, length(head) + 1, 1) in ('', '—', '–', ':', '-') or regexp_matches(substring(lowp, length(head) + 1, 1), '[\\s\\p{{Z}}]'))) as selfref
   from p1
 ), p3 as (
   select *, (not onomastic and n between 4 and 45 and not about and not redirect and not meta and not frag
@@ -161,7 +239,8 @@ base as (
     case when onomastic then 'onomastic_stub' end,
     {', '.join(f"case when {v} then '{k}' end" for k, v in flags.items())},
     case when concise and not onomastic and not ({any_flag}) then 'concise_gloss' end,
-    case when starts_with(src, 'ruwiki') and {_sql_m(t, P.YEAR)} and not {_sql_m("coalesce(lemma, '')", P.YEAR)} and {_sql_like(t, P.WIKI_HISTORY)} then 'encyclopedic_date' end,
+    case when starts_with(src, 'ruwiki') and len(list_filter({_sql_years('text')}, lambda y: not list_contains({_sql_years("coalesce(lemma, '')")}, y))) > 0
+      and ({_sql_like(t, P.WIKI_HISTORY)} or (n > 220 and {_sql_m('low', _sql_word_end(P.WIKI_HISTORY_WORDS))})) then 'encyclopedic_date' end,
     case when starts_with(src, 'ruwiki') and ({_sql_like(t, P.WIKI_TAIL)} or abs({_sql_count(t, '(')} - {_sql_count(t, ')')}) >= 2) then 'broken_fragment' end
   ], lambda f: f is not null) end as flags
   from p3
@@ -245,6 +324,12 @@ SQL = {
     "prune_dangling": f"with {_E}, {_D} select key, lemma from edges where lemma in (select lemma from defined)",
     "resolved_lookup": f"""with {_E}, per as (select lemma, count(*) as n from senses where lemma is not null and definition is not null group by 1)
       select key, cast(sum(n) as bigint) as n_definitions from edges join per using (lemma) group by 1""",
+    "alias_formula": f"with base as (select seq, lemma, coalesce(source, '') as src, {_sql_compact('definition')} as text from senses), {_SQL_FORMULAS}"
+    " select seq, kind, array_to_string(candidates, '|') as candidates, tail, body from formulas",
+    "quality_totals": _Q + """select count(*) as definitions, round(avg(score), 2) as average,
+        count(*) filter (len(list_filter(flags, lambda f: f not in ('onomastic_stub', 'concise_gloss'))) > 0) as with_warnings,
+        count(*) filter (len(flags) > 0 and len(list_filter(flags, lambda f: f not in ('onomastic_stub', 'concise_gloss'))) = 0) as informational_only from scored""",
+    "informational_examples": _Q + ", e as (select unnest(flags) as flag, lemma, seq, text from scored where lemma is not null), r as (select *, row_number() over (partition by flag order by lemma, seq) as place from e where flag in ('onomastic_stub', 'concise_gloss')) select flag, lemma, seq, text, place from r where place <= 2000",
     "quality_flags": _Q + "select seq, array_to_string(flags, ',') as flags from scored",
     "quality_score": _Q + "select seq, score from scored",
     "quality_buckets": _Q + "select case when score < 50 then '0-49' when score < 70 then '50-69' when score < 85 then '70-84' else '85-100' end as bucket, count(*) as n, round(avg(score), 2) as average from scored group by 1",
@@ -367,6 +452,13 @@ def star_lookup_totals(s, d):
     )
 
 
+def alias_formula(s, d):
+    t = spread(table(s, d, "senses").select("seq", "definition")).select("seq", quality.compact(F.col("definition")).alias("text"))
+    f = t.select("seq", aliases.formula(F.col("text")).alias("f"))
+    f = native.keep_rows(f, F.col("f").isNotNull())
+    return f.select("seq", "f.kind", F.array_join("f.candidates", "|").alias("candidates"), "f.tail", "f.body")
+
+
 def clean_definitions(s, d):
     t = table(s, d, "senses").where("definition is not null")
     return t.select("seq", rules.text_rule("clean_definition", F.col("definition")).alias("clean"))
@@ -419,6 +511,9 @@ def queries():
         "link_closure": link_closure,
         "prune_dangling": lambda s, d: graph.prune_dangling(_links(s, d), graph.defined_lemmas(table(s, d, "senses"))),
         "resolved_lookup": lambda s, d: graph.resolve_keys(_links(s, d), table(s, d, "senses")),
+        "alias_formula": alias_formula,
+        "quality_totals": lambda s, d: quality.totals(_scored(s, d)),
+        "informational_examples": lambda s, d: quality.informational_examples(_scored(s, d)),
         "quality_flags": lambda s, d: quality.with_flags(table(s, d, "senses")).select("seq", F.array_join("flags", ",").alias("flags")),
         "quality_score": lambda s, d: _scored(s, d).select("seq", "score"),
         "quality_buckets": lambda s, d: quality.score_buckets(_scored(s, d)),

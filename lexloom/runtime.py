@@ -114,3 +114,14 @@ def input_partitions(df: DataFrame) -> int:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, for heavy work on each row.
+
+    A scan with fewer splits than the session has cores (few or small files) is dealt out
+    anew; a scan with enough splits stays as it is, so large inputs are never shuffled here.
+    Select the columns that are needed before.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if input_partitions(df) >= cores else df.repartition(cores)
