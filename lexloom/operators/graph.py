@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from lexloom.runtime import Workspace
 
-MAX_ROUNDS = 8
-
 
 def clean_edges(links: DataFrame) -> DataFrame:
     """Distinct edges with two non-empty sides."""
@@ -20,27 +18,45 @@ def defined_lemmas(senses: DataFrame) -> DataFrame:
     return senses.where("lemma is not null and definition is not null").select("lemma").distinct()
 
 
-def close_aliases(
-    edges: DataFrame, defined: DataFrame, workspace: Workspace, max_rounds: int = MAX_ROUNDS
-) -> DataFrame:
-    """Edges plus those reached through targets that have no definition.
+def resolve_aliases(edges: DataFrame, defined: DataFrame, workspace: Workspace) -> DataFrame:
+    """``(key, lemma)``: every defined lemma a key leads to, directly or through undefined targets only.
 
-    Each round joins the edges with themselves, so path lengths double; rounds work on
-    snapshots and end at the fixpoint or after ``max_rounds``. Only edges whose target is
-    undefined are on the left side, so a popular defined lemma never meets the join.
+    Paths double each round: ``hops`` holds the pairs joined by exactly 2^k steps over
+    undefined targets, ``found`` what is reached in fewer steps. A round that finds nothing
+    new has found everything (a longer shortest path would have a tail that is new), so the
+    loop ends at the fixpoint, in cycles too, and a chain of n links never makes more than n
+    hops a round. A popular defined lemma takes no part in the joins over targets.
     """
-    current = workspace.keep(edges, "edges")
-    fresh = current
-    for n in range(max_rounds):
-        hop = current.select(F.col("key").alias("via"), F.col("lemma").alias("to"))
-        opened = fresh.join(defined, "lemma", "left_anti")
-        left = opened if n == 0 else current.join(defined, "lemma", "left_anti")
-        found = left.join(hop, F.col("lemma") == F.col("via")).select("key", F.col("to").alias("lemma")).distinct()
-        fresh = workspace.keep(found.join(current, ["key", "lemma"], "left_anti"), f"fresh{n}")
+    marks = defined.select("lemma").distinct().withColumn("_d", F.lit(True))
+    flagged = workspace.keep(edges.join(marks, "lemma", "left").select("key", "lemma", F.coalesce("_d", F.lit(False)).alias("_d")), "flagged")
+    parts = [flagged.where("_d").select("key", "lemma")]
+    sources = edges.select(F.col("key").alias("lemma")).distinct()
+    hops = workspace.keep(flagged.where("not _d").select("key", "lemma").join(sources, "lemma", "left_semi").select("key", "lemma"), "hops")
+    n = 0
+    while True:
+        found = parts[0]
+        for p in parts[1:]:
+            found = found.unionByName(p)
+        step = hops.select("key", F.col("lemma").alias("via"))
+        ends = found.select(F.col("key").alias("via"), "lemma")
+        fresh = step.join(ends, "via").select("key", "lemma").distinct().join(found, ["key", "lemma"], "left_anti")
+        fresh = workspace.keep(fresh, f"found{n}")
         if fresh.isEmpty():
-            break
-        current = workspace.keep(current.unionByName(fresh), f"edges{n}")
-    return current
+            workspace.drop(fresh, hops)
+            return found
+        parts.append(fresh)
+        further = step.join(hops.select(F.col("key").alias("via"), "lemma"), "via").select("key", "lemma").distinct()
+        last, hops = hops, workspace.keep(further, f"hops{n}")
+        workspace.drop(last)
+        n += 1
+
+
+def resolution_counts(edges: DataFrame, defined: DataFrame, resolved: DataFrame) -> DataFrame:
+    """One row: edges that were added by following undefined targets, and edges that were dropped."""
+    kept = prune_dangling(edges, defined)
+    counts = [d.agg(F.count(F.lit(1)).alias(n)) for d, n in ((resolved, "r"), (kept, "k"), (edges, "e"))]
+    r, k, e = (c.scalar() for c in counts)
+    return edges.sparkSession.range(1).select((r - k).alias("propagated"), (e - k).alias("removed"))
 
 
 def prune_dangling(edges: DataFrame, defined: DataFrame) -> DataFrame:

@@ -320,7 +320,12 @@ SQL = {
     "link_closure": f"""with recursive {_E}, {_D}, walk(key, lemma) as (
         select key, lemma from edges union
         select w.key, e.lemma from walk w join edges e on e.key = w.lemma where w.lemma not in (select lemma from defined))
-      select key, lemma from walk""",
+      select key, lemma from walk where lemma in (select lemma from defined)""",
+    "closure_counts": f"""with recursive {_E}, {_D}, walk(key, lemma) as (
+        select key, lemma from edges union
+        select w.key, e.lemma from walk w join edges e on e.key = w.lemma where w.lemma not in (select lemma from defined))
+      select (select count(*) from walk where lemma in (select lemma from defined)) - (select count(*) from edges where lemma in (select lemma from defined)) as propagated,
+             (select count(*) from edges where lemma not in (select lemma from defined)) as removed""",
     "prune_dangling": f"with {_E}, {_D} select key, lemma from edges where lemma in (select lemma from defined)",
     "resolved_lookup": f"""with {_E}, per as (select lemma, count(*) as n from senses where lemma is not null and definition is not null group by 1)
       select key, cast(sum(n) as bigint) as n_definitions from edges join per using (lemma) group by 1""",
@@ -366,8 +371,8 @@ def _keys(s, d):
     return coverage.known_keys(k.distinct(), "k")
 
 
-def _counts(s, d):
-    return coverage.token_counts(table(s, d, "documents"), _keys(s, d))
+def _counts(s, d, per_doc=False):
+    return coverage.token_counts(table(s, d, "documents"), _keys(s, d), Workspace(s, "coverage"), per_doc)
 
 
 def _distinct_keys(s, d):
@@ -384,15 +389,24 @@ def normalize_key(s, d):
 
 
 def alias_expand(s, d):
-    k = table(s, d, "links").where("key is not null").select(native.normalize_key(F.col("key")).alias("key")).distinct()
+    raw = spread(table(s, d, "links").where("key is not null").select("key").distinct())
+    k = raw.select(native.normalize_key(F.col("key")).alias("key")).distinct()
     return k.where(native.is_lookup_key(F.col("key"))).select("key", F.explode(native.alias_candidates(F.col("key"))).alias("alias"))
 
 
+def _surfaces(s, d):
+    """Tokens as written with their counts: whatever follows sees each surface once."""
+    return coverage.token_rows(table(s, d, "documents")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+def tokenize_counts(s, d):
+    return _surfaces(s, d).groupBy(coverage.folded(F.col("token")).alias("normalized")).agg(F.sum("n").alias("n"))
+
+
 def script_distribution(s, d):
-    t = coverage.token_rows(table(s, d, "documents"))
-    return t.groupBy(native.script_of(F.col("token")).alias("script")).agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("normalized").alias("n_distinct")
-    )
+    t = _surfaces(s, d).select(native.script_of(F.col("token")).alias("script"), coverage.folded(F.col("token")).alias("w"), "n")
+    per = t.groupBy("script", "w").agg(F.sum("n").alias("n"))
+    return per.groupBy("script").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_distinct"))
 
 
 def ngram_lookup_candidates(s, d):
@@ -413,8 +427,21 @@ def oov_classify(s, d):
     return coverage.classify(coverage.unknown_tokens(_counts(s, d)), coverage.variants(docs))
 
 
+def oov_groups(s, d):
+    docs, keys, ws = table(s, d, "documents"), _keys(s, d), Workspace(s, "oov")
+    per_doc = ws.keep(coverage.unknown_tokens(coverage.token_counts(docs, keys, ws, True)), "per_doc")
+    whole = coverage.unknown_tokens(coverage.token_counts(docs, keys, ws, per_doc=False))
+    classified = ws.keep(coverage.classify(whole, coverage.variants(docs)), "classified")
+    return coverage.oov_groups(classified, per_doc)
+
+
 def link_closure(s, d):
-    return graph.close_aliases(_links(s, d), graph.defined_lemmas(table(s, d, "senses")), Workspace(s, "closure"))
+    return graph.resolve_aliases(_links(s, d), graph.defined_lemmas(table(s, d, "senses")), Workspace(s, "closure"))
+
+
+def closure_counts(s, d):
+    edges, defined = _links(s, d), graph.defined_lemmas(table(s, d, "senses"))
+    return graph.resolution_counts(edges, defined, graph.resolve_aliases(edges, defined, Workspace(s, "closure")))
 
 
 def override_merge(s, d):
@@ -487,15 +514,16 @@ def queries():
         "normalize_key": normalize_key,
         "normalize_lookup": lambda s, d: _distinct_keys(s, d).withColumn("normalized", native.normalize_lookup(F.col("key"))),
         "alias_expand": alias_expand,
-        "tokenize_counts": lambda s, d: coverage.token_rows(table(s, d, "documents")).groupBy("normalized").agg(F.count(F.lit(1)).alias("n")),
+        "tokenize_counts": tokenize_counts,
         "script_distribution": script_distribution,
         "ngram_lookup_candidates": ngram_lookup_candidates,
-        "coverage_by_file": lambda s, d: coverage.coverage_by_file(_counts(s, d)),
+        "coverage_by_file": lambda s, d: coverage.coverage_by_file(_counts(s, d, True)),
         "coverage_report": lambda s, d: coverage.coverage_report(_counts(s, d)),
         "oov_topk": lambda s, d: coverage.unknown_tokens(_counts(s, d)).orderBy(F.desc("count"), "normalized").limit(200),
         "oov_by_script": oov_by_script,
         "oov_classify": oov_classify,
-        "oov_groups": lambda s, d: coverage.oov_groups(oov_classify(s, d)),
+        "oov_groups": oov_groups,
+        "oov_categories": lambda s, d: coverage.category_summary(oov_classify(s, d)),
         "token_variants_top5": lambda s, d: coverage.variants(table(s, d, "documents")),
         "insert_or_ignore_senses": lambda s, d: dedupe.insert_or_ignore(
             table(s, d, "senses").where("lemma is not null and definition is not null").select("lemma", "definition", "source", "seq"), ["lemma", "definition"], ["seq"]
@@ -509,6 +537,7 @@ def queries():
         "ambiguous_keys": lambda s, d: graph.ambiguous_keys(_links(s, d)),
         "override_merge": override_merge,
         "link_closure": link_closure,
+        "closure_counts": closure_counts,
         "prune_dangling": lambda s, d: graph.prune_dangling(_links(s, d), graph.defined_lemmas(table(s, d, "senses"))),
         "resolved_lookup": lambda s, d: graph.resolve_keys(_links(s, d), table(s, d, "senses")),
         "alias_formula": alias_formula,

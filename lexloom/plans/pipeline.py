@@ -20,7 +20,7 @@ def build_dictionary(spark: SparkSession, senses: DataFrame, links: DataFrame, h
     defined = graph.defined_lemmas(store)
     self_links = defined.select(F.col("lemma").alias("key"), "lemma")
     edges = graph.clean_edges(links).unionByName(self_links).distinct()
-    edges = ws.keep(graph.prune_dangling(graph.close_aliases(edges, defined, ws), defined), "links")
+    edges = ws.keep(graph.resolve_aliases(edges, defined, ws), "links")
     overrides = ws.keep(forms.derive_overrides(hints, store, edges).select("key", "definition"), "overrides")
     bodies, index = stardict.index_records(store, edges, overrides, ws)
     return stardict.write_bundle(bodies, index, base, title) | stardict.validate(base)
@@ -28,6 +28,8 @@ def build_dictionary(spark: SparkSession, senses: DataFrame, links: DataFrame, h
 
 def coverage_of(docs: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(report, per text, classified unknown tokens) of texts against keys."""
-    counts = coverage.token_counts(docs, coverage.known_keys(keys, column))
-    unknown = coverage.classify(coverage.unknown_tokens(counts), coverage.variants(docs))
-    return coverage.coverage_report(counts), coverage.coverage_by_file(counts), unknown
+    ws, known = Workspace(docs.sparkSession, "coverage"), coverage.known_keys(keys, column)
+    corpus = coverage.token_counts(docs, known, ws, per_doc=False)
+    by_file = coverage.coverage_by_file(coverage.token_counts(docs, known, ws))
+    unknown = coverage.classify(coverage.unknown_tokens(corpus), coverage.variants(docs))
+    return coverage.coverage_report(corpus), by_file, unknown

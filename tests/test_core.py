@@ -49,9 +49,18 @@ def test_closure_and_pruning(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("y", "x"), (None, "d"), ("", "d"), ("d", "d")], "key string, lemma string")
     d = spark.createDataFrame([("d", "t")], "lemma string, definition string")
     edges, defined = graph.clean_edges(e), graph.defined_lemmas(d)
-    closed = graph.close_aliases(edges, defined, Workspace(spark, "t"))
-    kept = graph.prune_dangling(closed, defined)
-    assert {(r.key, r.lemma) for r in kept.collect()} == {("a", "d"), ("b", "d"), ("c", "d"), ("d", "d")}
+    kept = graph.resolve_aliases(edges, defined, Workspace(spark, "t"))
+    assert sorted((r.key, r.lemma) for r in kept.collect()) == [("a", "d"), ("b", "d"), ("c", "d"), ("d", "d")]
+
+
+def test_long_chains_and_cycles_resolve(spark):
+    chain = [(f"k{i}", f"k{i + 1}") for i in range(300)] + [("k7", "k3"), ("loop", "loop2"), ("loop2", "loop"), ("loop2", "k0")]
+    edges = graph.clean_edges(spark.createDataFrame(chain, "key string, lemma string"))
+    defined = spark.createDataFrame([("k300",)], "lemma string")
+    got = graph.resolve_aliases(edges, defined, Workspace(spark, "t")).collect()
+    assert sorted(r.key for r in got) == sorted([f"k{i}" for i in range(300)] + ["loop", "loop2"]) and {r.lemma for r in got} == {"k300"}
+    none = graph.resolve_aliases(edges.limit(0), defined, Workspace(spark, "t"))
+    assert none.count() == 0
 
 
 def test_articles_and_offsets(spark):
@@ -75,7 +84,8 @@ def test_coverage(spark):
     }
     assert {r.doc: r.unknown_tokens for r in by_file.collect()} == {1: 0, 2: 1}
     assert [(r.normalized, r.category) for r in unknown.collect()] == [("известно-слово", "word")]
-    assert coverage.coverage_report(coverage.token_counts(docs.limit(0), coverage.known_keys(keys, "k"))).first().coverage_percent == 100.0
+    none = coverage.token_counts(docs.limit(0), coverage.known_keys(keys, "k"), Workspace(spark, "t"), per_doc=False)
+    assert coverage.coverage_report(none).first().coverage_percent == 100.0
 
 
 def test_classify(spark):
