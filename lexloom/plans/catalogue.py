@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import native
 from lexloom.functions import patterns as P
-from lexloom.functions import rules
-from lexloom.operators import aliases, articles, coverage, dedupe, forms, graph, quality
+from lexloom.operators import aliases, articles, cleaning, coverage, dedupe, forms, graph, quality
 from lexloom.runtime import Workspace, spread
 from lexloom.sources import packs, rejects, wiki
 from lexloom.sources.tables import table
@@ -487,8 +486,8 @@ def alias_formula(s, d):
 
 
 def clean_definitions(s, d):
-    t = table(s, d, "senses").where("definition is not null")
-    return t.select("seq", rules.text_rule("clean_definition", F.col("definition")).alias("clean"))
+    t = spread(table(s, d, "senses").where("definition is not null").select("seq", "definition"))
+    return cleaning.with_clean(t, "definition", "clean").select("seq", "clean")
 
 
 def wiki_leads(s, d):
