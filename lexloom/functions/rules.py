@@ -7,6 +7,7 @@ import unicodedata
 from functools import lru_cache
 from html.parser import HTMLParser
 
+import pandas as pd
 import regex as re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -224,8 +225,12 @@ def _text_udf(name: str):
     @F.pandas_udf(StringType())
     def run(s):
         # repeated values of a batch are worked out once
-        found = {x: fn(x) for x in s.dropna().unique()}
-        return s.map(found)
+        found: dict[str | None, str | None] = {None: None}
+        values = [None if x is None or x != x else x for x in s]
+        for x in values:
+            if x not in found:
+                found[x] = fn(x)
+        return pd.Series([found[x] for x in values], dtype=object)
 
     return run
 

@@ -49,28 +49,38 @@ def capital_if_small(text: Column) -> Column:
     return F.when(first.rlike(r"^\p{L}$") & (F.lower(first) == first), native.capital(text)).otherwise(text)
 
 
-def with_clean(df: DataFrame, column: str, out: str) -> DataFrame:
-    """``df`` plus ``out``: the cleaned text of ``column``, ``""`` if it holds no meaning (or is null).
-
-    Same results as :func:`lexloom.functions.rules.clean_definition`.
-    """
-    keep = [F.col(f"`{c}`") for c in df.columns if c != out]
-    raw = F.coalesce(F.col(f"`{column}`"), F.lit(""))
+def _without_markup(df: DataFrame, keep: list[Column], raw: Column) -> DataFrame:
+    """Entities, links, templates and tags; dashes and no-break spaces are folded."""
+    t = F.col("_w")
     some = F.when(raw.rlike(_NEEDS_PYTHON), raw)
-    t = F.col("_t")
-    step = df.select(*keep, F.coalesce(rules.text_rule("without_markup", some), native.strip(raw)).alias("_t"))
+    step = df.select(*keep, F.coalesce(rules.text_rule("without_markup", some), native.strip(raw)).alias("_w"))
     inner = F.regexp_replace(t, _LINK, "$1")
     for _ in range(6):
         inner = F.regexp_replace(inner, r"\{\{[^{}]*\}\}", "")
     marked = t.contains("{{") | t.contains("[[") | t.contains("]]") | t.contains("__NOTOC__")
-    step = step.select(*keep, F.when(marked, inner).otherwise(t).alias("_t"))
+    step = step.select(*keep, F.when(marked, inner).otherwise(t).alias("_w"))
     cut = native.strip(F.substring_index(t, "{{", 1))
     plain = reduce(lambda c, m: F.replace(c, F.lit(m), F.lit(" ")), ("__NOTOC__", "[[", "]]"), F.when(t.contains("{{"), cut).otherwise(t))
-    step = step.select(*keep, native.strip(native._fold_signs(plain, native.KEY_DASHES)).alias("_t"))
+    return step.select(*keep, native.strip(native._fold_signs(plain, native.KEY_DASHES)).alias("_w"))
+
+
+def with_clean(df: DataFrame, column: str, out: str, markup: bool = True) -> DataFrame:
+    """``df`` plus ``out``: the cleaned text of ``column``, ``""`` if it holds no meaning (or is null).
+
+    Same results as :func:`lexloom.functions.rules.clean_definition`. ``markup=False`` is for
+    texts that are known to hold none (because they were cleaned before).
+    """
+    keep = [F.col(f"`{c}`") for c in df.columns if c != out]
+    raw = F.coalesce(F.col(f"`{column}`"), F.lit(""))
+    t = F.col("_w")
+    if markup:
+        step = _without_markup(df, keep, raw)
+    else:
+        step = df.select(*keep, native.strip(raw).alias("_w"))
     bare = native.collapse(F.regexp_replace(t, _MARK, ""))
-    step = step.select(*keep, F.regexp_replace(bare, r"^[ \t\r\n;,•]+|[ \t\r\n;,•]+$", "").alias("_t"))
-    step = step.select(*keep, F.when(form_target(t), F.lit("")).otherwise(without_labels(t)).alias("_t"))
-    step = step.select(*keep, capital_if_small(without_context(t)).alias("_t"))
+    step = step.select(*keep, F.regexp_replace(bare, r"^[ \t\r\n;,•]+|[ \t\r\n;,•]+$", "").alias("_w"))
+    step = step.select(*keep, F.when(form_target(t), F.lit("")).otherwise(without_labels(t)).alias("_w"))
+    step = step.select(*keep, capital_if_small(without_context(t)).alias("_w"))
     low = native.casefold(t)
     empty = low.isin(*P.PLACEHOLDERS) | ((F.length(t) < 220) & (form_target(t) | F.when(t.rlike(_FORM_BEGIN), t.rlike("(?iu)" + P.GRAMMAR)).otherwise(F.lit(False))))
     return step.select(*keep, F.when(empty, F.lit("")).otherwise(t).alias(out))
