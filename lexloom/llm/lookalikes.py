@@ -27,37 +27,44 @@ from lexloom.llm.textwords import INVISIBLE
 from lexloom.runtime import Workspace
 from lexloom.sources.tables import table
 
-SCRIPT_ORDER = ("latin", "cyrillic", "greek")
+SCRIPT_ORDER = ("latin", "cyrillic", "greek", "armenian", "cherokee")
 
-#: Letters of one shape, as (latin, cyrillic, greek); "" where a script has none.
+#: Letters of one shape, as (latin, cyrillic, greek, armenian, cherokee), after the published list of
+#: confusable characters; "" where a script has none, and several letters where one script has the shape more than once.
 SAME_SHAPE = (
-    ("a", "а", ""), ("c", "с", "ϲ"), ("d", "ԁ", ""), ("e", "е", ""), ("h", "һ", ""),
-    ("i", "і", ""), ("j", "ј", "ϳ"), ("o", "о", "ο"), ("p", "р", "ρ"), ("q", "ԛ", ""),
-    ("s", "ѕ", ""), ("w", "ԝ", ""), ("x", "х", ""), ("y", "у", ""), ("v", "ѵ", "ν"),
-    ("A", "А", "Α"), ("B", "В", "Β"), ("C", "С", "Ϲ"), ("E", "Е", "Ε"), ("G", "Ԍ", ""),
-    ("H", "Н", "Η"), ("I", "І", "Ι"), ("J", "Ј", "Ϳ"), ("K", "К", "Κ"), ("M", "М", "Μ"),
-    ("N", "", "Ν"), ("O", "О", "Ο"), ("P", "Р", "Ρ"), ("Q", "Ԛ", ""), ("S", "Ѕ", ""),
-    ("T", "Т", "Τ"), ("V", "Ѵ", ""), ("W", "Ԝ", ""), ("X", "Х", "Χ"), ("Y", "У", "Υ"),
-    ("Z", "", "Ζ"), ("ə", "ә", ""), ("Ə", "Ә", ""), ("", "к", "κ"), ("", "Г", "Γ"),
-    ("", "П", "Π"), ("", "Ф", "Φ"), ("ʜ", "н", ""), ("ᴍ", "м", ""), ("ᴛ", "т", ""),
-    ("ʙ", "в", ""), ("ɢ", "ԍ", ""),
+    ("aɑ", "а", "α", "", ""), ("b", "", "", "", "Ꮟ"), ("c", "с", "ϲ", "", ""), ("d", "ԁ", "", "", "Ꮷ"), ("e", "е", "", "", ""),
+    ("gɡ", "", "", "ց", ""), ("h", "һ", "", "հ", "Ꮒ"), ("i", "і", "ι", "", ""), ("j", "ј", "ϳ", "յ", ""), ("l", "ӏ", "", "", ""),
+    ("n", "", "", "ո", ""), ("o", "о", "ο", "օ", ""), ("p", "р", "ρ", "", ""), ("q", "ԛ", "", "զ", ""), ("s", "ѕ", "", "", ""),
+    ("u", "", "υ", "ս", ""), ("v", "ѵ", "ν", "", ""), ("w", "ԝ", "", "", ""), ("x", "х", "", "", ""), ("y", "уү", "γ", "", "Ꭹ"),
+    ("A", "А", "Α", "", "Ꭺ"), ("B", "В", "Β", "", "Ᏼ"), ("C", "С", "Ϲ", "", "Ꮯ"), ("D", "", "", "", "Ꭰ"), ("E", "Е", "Ε", "", "Ꭼ"),
+    ("G", "Ԍ", "", "", "Ꮐ"), ("H", "Н", "Η", "", "Ꮋ"), ("I", "ІӀ", "Ι", "", ""), ("J", "Ј", "Ϳ", "", "Ꭻ"), ("K", "К", "Κ", "", "Ꮶ"),
+    ("L", "", "", "", "Ꮮ"), ("M", "М", "Μ", "", "Ꮇ"), ("N", "", "Ν", "", ""), ("O", "О", "Ο", "Օ", ""), ("P", "Р", "Ρ", "", "Ꮲ"),
+    ("Q", "Ԛ", "", "", ""), ("R", "", "", "", "ᎡᏒ"), ("S", "Ѕ", "", "Տ", "ᏕᏚ"), ("T", "Т", "Τ", "", "Ꭲ"), ("U", "", "", "Ս", ""),
+    ("V", "Ѵ", "", "", "Ꮩ"), ("W", "Ԝ", "", "", "ᎳᏔ"), ("X", "Х", "Χ", "", ""), ("Y", "УҮ", "Υ", "", ""), ("Z", "", "Ζ", "", "Ꮓ"),
+    ("ə", "ә", "", "", ""), ("Ə", "Ә", "", "", ""), ("ĸ", "к", "κ", "", ""), ("", "Г", "Γ", "", ""), ("", "П", "Π", "", ""),
+    ("", "Ф", "Φ", "", ""), ("ʜ", "н", "", "", ""), ("ᴍ", "м", "", "", ""), ("ᴛ", "т", "", "", ""), ("ʙ", "в", "", "", ""),
+    ("ɢ", "ԍ", "", "", ""),
 )
 
 #: Kinds of hyphen.
 HYPHENS = "-˗‐‑‒–⁃−﹘﹣－"
 
+#: Spellings of one form that a part of the pair join holds on its right side.
+SPELLINGS_PER_PART = 256
+
 _GONE = re.compile(f"[{INVISIBLE}\u034f\ufe00-\ufe0f\U000e0000-\U000e0fff]")
 _BLANKS = re.compile(r"[^\S\n]")
 _LETTERS = re.compile(r"[^\W\d_]+")
-#: Decomposition types that change nothing but width, shaping of a ligature, or breaking.
+#: Decomposition types that change nothing but width or breaking; font variants (mathematical letters), ligatures and
+#: signs of Roman numerals are spelled out as well.
 _WIDTHS = ("<wide>", "<narrow>", "<noBreak>")
 
 
 def _shape_table() -> dict[str, dict[str, str]]:
     table_: dict[str, dict[str, str]] = {}
     for row in SAME_SHAPE:
-        options = {s: c for s, c in zip(SCRIPT_ORDER, row) if c}
-        for c in options.values():
+        options = {s: c[0] for s, c in zip(SCRIPT_ORDER, row) if c}
+        for c in "".join(row):
             table_[c] = options
     return table_
 
@@ -83,7 +90,7 @@ def _fold_char(char: str) -> str:
     d = unicodedata.decomposition(char)
     if d:
         kind, *codes = d.split(" ")
-        if kind in _WIDTHS or kind == "<compat>" and "LIGATURE" in unicodedata.name(char, ""):
+        if kind in _WIDTHS or kind == "<font>" or kind == "<compat>" and re.search("LIGATURE|ROMAN NUMERAL", unicodedata.name(char, "")):
             return "".join(_fold_char(chr(int(c, 16))) for c in codes)
     if char.isspace():
         return " "
@@ -175,15 +182,27 @@ def same_looking_pairs(values: DataFrame, workspace: Workspace) -> DataFrame:
 
     ``values`` has one string column; nulls are left out and repeats count once. Values are
     made distinct with a map-side combine before they are grouped by form, so a value that
-    holds a third of all rows is one row by then; only forms with two spellings or more
-    reach the pair join, whose skewed keys AQE splits.
+    holds a third of all rows is one row by then. Only forms with two spellings or more reach
+    the pair join, where the spellings of a large form are dealt over parts.
     """
     several = workspace.keep(_forms(values).dropDuplicates(["form", "value"]), "forms")
-    many = several.groupBy("form").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("form")
-    rows = several.join(many, "form", "left_semi")
-    a = rows.select("form", F.col("value").alias("form_a"))
-    b = rows.select("form", F.col("value").alias("form_b"))
-    return a.join(b, "form").where("form_a < form_b").select("form_a", "form_b")
+    count = several.groupBy("form").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = workspace.keep(several.join(count, "form"), "several")
+    workspace.drop(several)
+    # the right side of a form with many spellings is dealt over as many parts as it has blocks of spellings
+    part = F.pmod(F.xxhash64("value"), F.ceil(F.col("n") / SPELLINGS_PER_PART)).cast("int")
+    a = rows.select("form", F.col("value").alias("form_a"), F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / SPELLINGS_PER_PART) - 1).cast("int"))).alias("part"))
+    b = rows.select("form", F.col("value").alias("form_b"), part.alias("part"))
+    return a.join(b, ["form", "part"]).where("form_a < form_b").select("form_a", "form_b")
+
+
+def spelling_classes(values: DataFrame, workspace: Workspace) -> DataFrame:
+    """``(form, spellings, least)`` of forms with two spellings or more: how many there are, and the smallest.
+
+    What :func:`same_looking_pairs` says in at most one row per form, for uses that need no pairs.
+    """
+    several = workspace.keep(_forms(values).dropDuplicates(["form", "value"]), "forms")
+    return several.groupBy("form").agg(F.count(F.lit(1)).alias("spellings"), F.min("value").alias("least")).where("spellings > 1")
 
 
 def lookup_strings(links: DataFrame, packs: DataFrame) -> DataFrame:
@@ -205,3 +224,9 @@ def p2_forms(spark: SparkSession, data_dir: str) -> DataFrame:
     """Every distinct string with its consistent form."""
     values = lookup_strings(table(spark, data_dir, "links"), table(spark, data_dir, "pack_entries"))
     return _forms(values.where("value is not null").distinct())
+
+
+def p2_classes(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Forms with several spellings, one row each."""
+    values = lookup_strings(table(spark, data_dir, "links"), table(spark, data_dir, "pack_entries"))
+    return spelling_classes(values, Workspace(spark, "p2c"))

@@ -11,6 +11,7 @@ def queries():
         "p1_clean": markup.p1_clean,
         "p2_found": lookalikes.p2_found,
         "p2_forms": lookalikes.p2_forms,
+        "p2_classes": lookalikes.p2_classes,
         "p3_found": formatting_copies.p3_found,
         "p3_collapsed": formatting_copies.p3_collapsed,
         "p4_found": groups.p4_found,

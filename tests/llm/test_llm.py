@@ -117,11 +117,16 @@ def test_consistent_forms():
     assert lookalikes.resolve_token("сор")[1] == "whole" and lookalikes.resolve_token("cлово") == ("слово", "mixed")
 
 
-def test_same_looking_pairs(spark):
+def test_same_looking_pairs(spark, monkeypatch):
     values = spark.createDataFrame([("слово",), ("cлово",), ("слово",), (None,), ("",), ("слoво",), ("x",)], "form string")
     got = lookalikes.same_looking_pairs(values, Workspace(spark, "t"))
     words = sorted(["слово", "cлово", "слoво"], key=lambda w: w.encode())
     assert sorted(map(tuple, got.collect())) == sorted(itertools.combinations(words, 2))
+    classes = lookalikes.spelling_classes(values, Workspace(spark, "t")).collect()
+    assert [(r.spellings, r.least) for r in classes] == [(3, words[0])]
+    monkeypatch.setattr(lookalikes, "SPELLINGS_PER_PART", 1)
+    split = lookalikes.same_looking_pairs(values, Workspace(spark, "t"))
+    assert sorted(map(tuple, split.collect())) == sorted(itertools.combinations(words, 2))
     with pytest.raises(ValueError):
         lookalikes.with_consistent_form(values, "form", "form")
 
