@@ -18,6 +18,7 @@ def queries():
         "p6_ids": tokenize.p6_ids,
         "p6_roundtrip": tokenize.p6_roundtrip,
         "p7_found": leakage.p7_found,
+        "p7_near": leakage.p7_near,
         "p8_found": quality.p8_found,
         "p8_stats": quality.p8_stats,
     }

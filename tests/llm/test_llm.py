@@ -237,6 +237,28 @@ def test_leaks(spark):
     assert leakage.leaked_items(df.limit(0), items).count() == 0
 
 
+@pytest.mark.parametrize("edits", [1, 2])
+@pytest.mark.parametrize("bound", [leakage.BROADCAST_WINDOWS, 0])
+def test_recall_with_edits(spark, edits, bound):
+    rng = random.Random(edits)
+    vocabulary = [f"слово{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice((7, 9, 14, 30))))) for i in range(40)]
+    docs = []
+    for d in range(160):
+        i, t = rng.choice(items)
+        w = t.split()
+        at = rng.randint(0, max(0, len(w) - 12))
+        w = w[at : at + 12]
+        for _ in range(rng.randint(0, edits)):
+            p = rng.randrange(len(w))
+            w[p : p + 1] = rng.choice(([rng.choice(vocabulary)], [w[p], rng.choice(vocabulary)], []))
+        docs.append((d, " ".join(rng.choices(vocabulary, k=20) + w + rng.choices(vocabulary, k=20))))
+    want = leakage.exact_pairs(docs, items, 12, edits)
+    d, t = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = set(map(tuple, leakage.leaked_items(d, t, edits=edits, recall=0.95, broadcast_windows=bound).collect()))
+    assert got <= want and len(got) >= 0.93 * len(want) and len(want) > 60
+
+
 def test_words_of_blocks():
     texts = [textwords.normal_words(x) for x in ("а б, в", "", "г", "б а")]
     w = leakage.Words(texts)
