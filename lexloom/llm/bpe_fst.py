@@ -138,7 +138,9 @@ class BpeTransducer:
         return nxt
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token: run the transducer, then follow the last tokens back."""
+        """Ids of one pre-token. A short one is run through at once; a longer one is emitted by bounded lookahead."""
+        if len(piece) > 4 * self.longest:
+            return list(self.stream([piece]))
         state, ends = self.initial, []
         for b in piece:
             state = self._advance(state, b)

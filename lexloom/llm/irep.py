@@ -24,9 +24,6 @@ class Condition:
         v = x[:, names.index(self.feature)]
         return v >= self.threshold if self.above else v < self.threshold
 
-    def sql(self) -> str:
-        return f"{self.feature} {'>=' if self.above else '<'} {self.threshold!r}D"
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -39,9 +36,6 @@ class Rule:
             ok &= c.holds(x, names)
         return ok
 
-    def sql(self) -> str:
-        return " and ".join(c.sql() for c in self.conditions) or "true"
-
 
 @dataclass(frozen=True)
 class RuleList:
@@ -58,7 +52,7 @@ class RuleList:
         return out
 
     def column(self, row):
-        """The CASE of :meth:`sql` over the fields of a struct column."""
+        """The list as one CASE expression over the fields of a struct column."""
         from pyspark.sql import functions as F
 
         out = None
@@ -70,13 +64,6 @@ class RuleList:
             out = F.when(test, F.lit(r.label)) if out is None else out.when(test, F.lit(r.label))
         return F.lit(self.default) if out is None else out.otherwise(F.lit(self.default))
 
-    def sql(self) -> str:
-        """The list as one CASE expression over columns named like the features."""
-        if not self.rules:
-            return f"'{self.default}'"
-        whens = " ".join(f"when {r.sql()} then '{r.label}'" for r in self.rules)
-        return f"case {whens} else '{self.default}' end"
-
 
 def _cuts(v: np.ndarray, most: int) -> np.ndarray:
     """Thresholds half-way between neighbouring values, at most ``most`` of them by rank."""

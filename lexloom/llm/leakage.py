@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm.textwords import normal_words
+from lexloom.runtime import spread
 from lexloom.sources.tables import table
 
 WIDTH = 12
@@ -330,7 +331,7 @@ def _search_broadcast(docs: DataFrame, index: ItemIndex) -> DataFrame:
                     names=["doc_id", "item_id"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, item_id long").distinct()
+    return spread(docs).mapInArrow(run, "doc_id long, item_id long").distinct()
 
 
 def _keyed(df: DataFrame, id_col: str, width: int, edits: int, recall: float, sizes=None, marked=None, sampled: int = 6) -> DataFrame:

@@ -24,6 +24,7 @@ from html.entities import html5
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexloom.runtime import spread
 from lexloom.sources.tables import table
 
 #: Element names of HTML and of wiki extensions.
@@ -829,7 +830,7 @@ def records_with_markup(senses: DataFrame, leads: DataFrame) -> DataFrame:
 
     Null, empty and undecodable texts hold none; repeated deliveries of a title count once.
     """
-    some = senses.where(F.col("body").rlike(PREFILTER))
+    some = spread(senses.where(F.col("body").rlike(PREFILTER)))
     hits = _map_texts(some, has_markup, "hit", "boolean").unionByName(_map_texts(leads, has_markup, "hit", "boolean"))
     return hits.where("hit").select("table_name", "record_key").distinct()
 
@@ -837,7 +838,7 @@ def records_with_markup(senses: DataFrame, leads: DataFrame) -> DataFrame:
 def cleaned_records(senses: DataFrame, leads: DataFrame) -> DataFrame:
     """``(table_name, record_key, clean)``, one row per input row (repeated rows stay)."""
     plain = senses.where(~F.coalesce(F.col("body").rlike(PREFILTER), F.lit(False)))
-    some = senses.where(F.col("body").rlike(PREFILTER))
+    some = spread(senses.where(F.col("body").rlike(PREFILTER)))
     return (
         plain.withColumnRenamed("body", "clean")
         .unionByName(_map_texts(some, clean_text, "clean", "string"))

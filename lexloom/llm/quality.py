@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm import irep
-from lexloom.runtime import Workspace
+from lexloom.runtime import Workspace, spread
 from lexloom.sources.tables import table
 
 #: A word is common if it makes up at least this share of all words; so there are at most 1000.
@@ -50,7 +50,7 @@ def common_words(df: DataFrame, text_col: str = "text", share: float = COMMON_SH
     Counted over all texts with a map-side combine. At most ``1 / share`` words can reach
     the share, which bounds the result that comes to the driver.
     """
-    words = df.select(F.explode(_words(F.col(text_col))).alias("w"))
+    words = spread(df.select(F.col(text_col).alias("t"))).select(F.explode(_words(F.col("t"))).alias("w"))
     counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     counts = Workspace(df.sparkSession, "words").keep(counts, "counts")  # read twice below
     total = counts.agg(F.sum("n")).first()[0] or 0
@@ -150,7 +150,7 @@ def text_statistics(df: DataFrame, common: list[str], id_col: str = "doc_id", te
     """
     names = ("word_count", *FEATURES)
     s = statistics_of(F.col(text_col), common, names, lambda v: v)
-    out = df.select(F.col(id_col), s.alias("s"))
+    out = spread(df.select(id_col, text_col)).select(F.col(id_col), s.alias("s"))
     return out.select(F.col(id_col), *[F.col(f"s.{n}").alias(n) for n in names])
 
 
@@ -189,11 +189,11 @@ def document_kinds(
     """
     common = common_words(docs, text_col)
     rules = fit_rules(docs, labels, common, id_col=id_col, text_col=text_col)
-    texts = docs.where(F.col(text_col).rlike(r"[^\s\p{Z}\p{Cc}\p{Cf}]"))
+    texts = docs.select(id_col, text_col).where(F.col(text_col).rlike(r"[^\s\p{Z}\p{Cc}\p{Cf}]"))
     used = sorted({c.feature for r in rules.rules for c in r.conditions}) or [FEATURES[0]]
     kind = statistics_of(F.col(text_col), common, used, rules.column)
     kept = F.filter(F.array(kind), lambda k: k != F.lit(leave_out or ""))
-    out = texts.select(F.col(id_col), F.explode(kept).alias("kind"))
+    out = spread(texts).select(F.col(id_col), F.explode(kept).alias("kind"))
     return out if rules.default else out.limit(0)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.llm.bpe_fst import transducer, vocabulary_path
+from lexloom.runtime import spread
 from lexloom.sources.tables import table
 
 
@@ -41,7 +42,7 @@ def encode_texts(
             yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["id", "ids"])
 
     slim = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = slim.mapInArrow(run, f"id {kind}, ids array<int>")
+    out = spread(slim).mapInArrow(run, f"id {kind}, ids array<int>")
     return out.select(F.col("id").alias(id_col), "ids")
 
 
