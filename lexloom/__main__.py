@@ -22,12 +22,12 @@ def main(argv: list[str] | None = None) -> int:
     v = sub.add_parser("validate", help="check a dictionary bundle")
     v.add_argument("base")
     a = p.parse_args(argv)
+    spark = session()
     if a.action == "validate":
         from lexloom.sinks.stardict import validate
 
-        print(json.dumps(validate(a.base)))
+        print(json.dumps(validate(spark, a.base)))
         return 0
-    spark = session()
     from lexloom.plans import pipeline
 
     if a.action == "build":

@@ -24,6 +24,16 @@ def best_participles(links: DataFrame) -> DataFrame:
     return fit.groupBy(F.col("lemma").alias("verb")).agg(F.min_by("key", order).alias("participle"))
 
 
+def eligible_hints(hints: DataFrame, senses: DataFrame, kind: str = "passive") -> DataFrame:
+    """``(key, target, definition)`` of hints whose key has no meaning of its own and whose target has exactly one."""
+    h = hints.where(F.col("kind") == kind).where("key is not null and target is not null").select("key", "target").distinct()
+    own = senses.where("definition is not null").select(F.col("lemma").alias("key")).distinct()
+    one = senses.where("definition is not null").groupBy("lemma").agg(
+        F.count(F.lit(1)).alias("n"), F.min("definition").alias("definition")
+    ).where("n = 1")
+    return h.join(own, "key", "left_anti").join(one, h.target == one.lemma).select("key", "target", "definition")
+
+
 def derive_overrides(hints: DataFrame, senses: DataFrame, links: DataFrame, kind: str = "passive") -> DataFrame:
     """``(key, definition, source)`` for passive forms without a meaning of their own.
 
@@ -31,12 +41,7 @@ def derive_overrides(hints: DataFrame, senses: DataFrame, links: DataFrame, kind
     is replaced by a participle that exists as a link, never by a made-up one. Of several
     targets of a key the last in byte order wins. Null keys and targets give no row.
     """
-    h = hints.where(F.col("kind") == kind).where("key is not null and target is not null").select("key", "target").distinct()
-    own = senses.where("definition is not null").select(F.col("lemma").alias("key")).distinct()
-    one = senses.where("definition is not null").groupBy("lemma").agg(
-        F.count(F.lit(1)).alias("n"), F.min("definition").alias("definition")
-    ).where("n = 1")
-    rows = h.join(own, "key", "left_anti").join(one, h.target == one.lemma)
+    rows = eligible_hints(hints, senses, kind)
     text = rules.text_rule("clean_definition", F.col("definition"))
     rows = rows.select("key", "target", text.alias("t")).where(F.col("t").rlike(CHAIN))
     verbs = F.split(F.regexp_extract("t", CHAIN, 1), r"\s+(?:и|или)\s+")

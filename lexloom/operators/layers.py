@@ -166,6 +166,13 @@ def import_pages(store: Store, pages: DataFrame, workspace, fallback: bool = Tru
     return upgrade(out, old, workspace)[0] if fallback else out
 
 
+def redirect_links(store: Store, pages: DataFrame) -> Store:
+    """Links from redirect pages ``(title, redirect)`` whose target (without its section) is defined."""
+    r = pages.where("ns = 0 and redirect is not null and title is not null")
+    r = r.select(F.col("title").alias("key"), native.normalize_key(F.substring_index("redirect", "#", 1)).alias("lemma"))
+    return add_links(store, is_defined(r.where(native.is_lookup_key(F.col("lemma"))), store).where("defined").select("key", "lemma"))
+
+
 def import_entities(store: Store, rows: DataFrame, fallback: bool = True) -> Store:
     """Senses and links of lexeme entity rows (``kind, a, b, c, file_pos, item_pos``).
 

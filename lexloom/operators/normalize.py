@@ -212,6 +212,7 @@ class Steps:
     """The chain under construction: a DataFrame with the current text in ``_t`` and the names of what changed it."""
 
     def __init__(self, rows: DataFrame) -> None:
+        self.n = 0
         self.keep = [F.col(f"`{c}`") for c in rows.columns]
         self.df = rows.select(
             *self.keep, native.strip(F.coalesce("definition", F.lit(""))).alias("_t"), F.array().cast("array<string>").alias("_c")
@@ -221,6 +222,9 @@ class Steps:
 
     def step(self, name: str | None, new: Column, where: Column | None = None) -> None:
         """Set the text to ``new`` where the condition holds; a null keeps it. An empty text stays empty."""
+        self.n += 1
+        if self.n % 3 == 0:  # a lambda ends a stage of generated code, so that none grows too large to compile
+            self.df = self.df.select(*self.keep, native.bind({"t": self.t}, lambda r: r["t"]).alias("_t"), "_c")
         test = self.t != "" if where is None else (self.t != "") & where
         made = F.when(test, F.coalesce(new, self.t)).otherwise(self.t)
         stage = self.df.select(*self.keep, "_t", "_c", made.alias("_n"))

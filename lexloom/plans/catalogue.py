@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import native
 from lexloom.functions import patterns as P
-from lexloom.operators import aliases, articles, cleaning, coverage, dedupe, forms, graph, quality
+from lexloom.functions import wiki_patterns as W
+from lexloom.operators import aliases, articles, cleaning, coverage, dedupe, forms, graph, layers, normalize, quality, semantic
 from lexloom.runtime import Workspace, spread
 from lexloom.sources import packs, rejects, wiki
 from lexloom.sources.tables import table
@@ -354,6 +355,38 @@ SQL = {
     "stage_stats": """select count(*) as definitions, count(distinct lemma) as lemmas,
       (select count(*) from (select distinct key, lemma from links where key <> '' and lemma <> '')) as links,
       (select count(distinct key) from links where key <> '' and lemma <> '') as lookup_keys from senses where definition is not null""",
+    "marked_headwords": f"""with l as (select distinct lemma from senses where source = 'dal' and lemma is not null),
+        m as (select lemma as old, {_sql_trim("regexp_replace(" + _sql_plain_key('lemma') + ", '(?i)" + chr(92) + "s+(?:м|ж|ср|об|мн|ед)" + chr(92) + ".?" + chr(92) + "s*$', '')")} as new from l)
+      select old, new, new in (select lemma from senses where lemma is not null) as conflict from m where old <> new and {_sql_valid('new')}""",
+    "hint_targets": """with one as (select lemma, min(definition) as definition from senses where definition is not null and lemma is not null group by 1 having count(*) = 1)
+      select key, target, definition from (select distinct key, target from form_hints where kind = 'passive' and key is not null and target is not null) join one on target = lemma
+      where key not in (select lemma from senses where definition is not null and lemma is not null)""",
+    "best_participles": f"""with f as (select lemma as verb, key, {_sql_casefold('key')} as low from links where key is not null and lemma is not null),
+      g as (select * from f where regexp_matches(low, '(?:{'|'.join(P.PARTICIPLE_ENDINGS)})$') and not contains(key, ' ') and length(key) <= 70 and low <> {_sql_casefold('verb')}),
+      r as (select *, row_number() over (partition by verb order by length(key), case when contains(low, 'ё') then 0 else 1 end, low, key) as place from g)
+      select verb, key as participle from r where place = 1""",
+    "oov_classify": _C + _V + f""", s0 as (select normalized, arg_min(token, rank) as token, bool_and(regexp_matches(token, '^[А-ЯЁ][а-яё-]+$')) as names from ranked where rank <= 5 group by 1),
+      s1 as (select unk.normalized, count, token, names, {_sql_script('token')} as script, string_split(unk.normalized, '-') as parts, regexp_matches(token, '(?i)^[ivxlcdm]+$') as is_roman,
+        list_transform(string_split(upper(token), ''), lambda c: coalesce(map {{'I': 1, 'V': 5, 'X': 10, 'L': 50, 'C': 100, 'D': 500, 'M': 1000}}[c], 0)) as v from unk join s0 using (normalized) where count > 0),
+      s2 as (select *, case when is_roman then 1 when (length(normalized) >= 4 and replace(normalized, normalized[1], '') = '') or
+            (len(parts) >= 3 and len(list_filter(parts, lambda p: length(p) = 1)) > 0 and len(list_filter(parts, lambda p: p = '')) = 0) then 2
+          when regexp_matches(token, '^[A-ZА-ЯЁ]{{2,10}}$') then 3 when normalized in ({', '.join(_q(x) for x in coverage.ABBREVIATIONS)}) then 4
+          when script in ('latin', 'greek', 'other-alphabet', 'mixed') then 5 when script = 'cyrillic' and names and length(normalized) >= 3 then 6 else 7 end as k,
+        list_sum(list_transform(v, lambda x, i: case when x < coalesce(v[i + 1], 0) then -x else x end)) as roman from s1)
+      select normalized, count, token, script, ['number', 'noise', 'abbreviation', 'abbreviation', 'foreign', 'name', 'word'][k] as category,
+        ['ignore_numeric', 'ignore_typographic_variant', 'review_abbreviation_pack', 'review_abbreviation_pack', 'review_separate_language_layer', 'review_literary_name_layer', 'review_lexicographic_entry'][k] as action,
+        k > 2 as candidate, ['roman_numeral', 'stylised_spelling', 'capitals', 'closed_list', 'script', 'capitalised_in_all_places', 'no_match'][k] as reason,
+        ['high', 'high', 'high', 'medium', 'high', 'possible', 'possible'][k] as confidence, case when k = 1 then 'roman:' || cast(cast(roman as bigint) as varchar) else normalized end as candidate_key from s2""",
+    "page_filter": f"""with p as (select distinct title, categories, string_split(coalesce(categories, ''), chr(10)) as cs from candidates where title is not null)
+      select title, length(title) > 140 or contains(title, ':') or regexp_matches(title, {_q('(?i)' + W.BAD_TITLE)}) or regexp_matches(title, {_q('(?i)' + W.BAD_QUALIFIER)}) as bad_title,
+        len(list_filter(cs, lambda c: regexp_matches(c, {_q('(?i)' + W.DOMAIN)}))) > 0 as domain, len(list_filter(cs, lambda c: regexp_matches(c, {_q('(?i)' + W.NOISE)}))) > 0 as noise from p""",
+    "lookup_probes": f"""with {_E}, {_D}, k as (select distinct key from form_hints where key is not null),
+      n as (select key, {_sql_plain_key('key')} as p from k), f as (select key, p, {_sql_casefold('p')} as low,
+        {_sql_casefold("translate(regexp_replace(p, '[" + native.STRESS + "]', '', 'g'), " + _q(native.STRESSED) + ", " + _q(native.UNSTRESSED) + ")")} as bare from n),
+      g as (select distinct key from edges where lemma in (select lemma from defined))
+      select key, p in (select key from g) or low in (select key from g) or replace(low, 'ё', 'е') in (select key from g) or bare in (select key from g) as defined from f""",
+    "bundle_roundtrip": _ARTICLES.replace("with d as", f"with {_E}, d as") + """, e as (select key, a.lemma, article from edges a join art using (lemma) where strlen(key) <= 255)
+      select key as word, string_agg(article, chr(10) order by lemma) as article from e group by key""",
     "star_lookup_totals": """select n_name, count(*) as lines, round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue
       from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1""",
 }
@@ -506,6 +539,67 @@ def index_records(s, d):
     return build(senses, links, None, Workspace(s, "index"))[1]
 
 
+def _store(s, d):
+    return semantic.Store(table(s, d, "senses").select("lemma", "definition", "source", "seq"), _links(s, d))
+
+
+def normalized_definitions(s, d):
+    """Text and changes of every definition that normalisation looks at."""
+    rows = spread(quality.semantic_candidates(table(s, d, "senses")).select("seq", "lemma", "definition", "source"))
+    return normalize.normalize(rows).select("seq", "text", F.array_join("changes", ",").alias("changes"))
+
+
+def semantic_outcomes(s, d):
+    return semantic.pass_statistics(semantic.semantic_pass(_store(s, d), Workspace(s, "semantic")))
+
+
+def semantic_senses(s, d):
+    return semantic.semantic_pass(_store(s, d), Workspace(s, "semantic")).store.senses.select("seq", "lemma", "definition", "source")
+
+
+def rescued_senses(s, d):
+    ws = Workspace(s, "rescue")
+    done = semantic.semantic_pass(_store(s, d), ws)
+    pages = table(s, d, "candidates").where("title is not null").select("title", "categories", wiki.inflate(F.col("lead_z")).alias("lead")).distinct()
+    out = semantic.rescue(done.store, done.rescue, layers.page_definitions(pages, need_domain=False), ws)
+    return out.senses.where("source in ('ruwiki-quality', 'ruwiki-rescue')").select("lemma", "definition", "source")
+
+
+def marked_headwords(s, d):
+    return semantic.migrate_headwords(_store(s, d))[1]
+
+
+def page_filter(s, d):
+    pages = table(s, d, "candidates").where("title is not null").select("title", "categories").distinct()
+    return pages.select("title", *[F.coalesce(v, F.lit(False)).alias(k) for k, v in layers.page_tests(F.col("title"), F.col("categories")).items()])
+
+
+def lookup_probes(s, d):
+    """Key spellings of form hints that lead to a defined lemma."""
+    k = table(s, d, "form_hints").where("key is not null").select("key").distinct()
+    return layers.is_defined(k, _store(s, d), "key").select("key", "defined")
+
+
+def pack_union(s, d):
+    """Layered insert of pack entries after the senses: rows that are newly inserted."""
+    p = table(s, d, "pack_entries").where("word is not null and definition is not null")
+    rows = p.select(F.col("word").alias("lemma"), "definition", F.concat(F.lit("extra:"), F.col("pack")).alias("source"), F.struct("pack", "definition").alias("place"))
+    _, fresh = layers.add_senses(_store(s, d), rows)
+    return fresh.select("lemma", "definition")
+
+
+def bundle_roundtrip(s, d):
+    """Keys and articles of a bundle that was written from the store and read back."""
+    from lexloom.sinks import stardict
+    from lexloom.sources.stardict import read_index, resolve
+
+    ws = Workspace(s, "bundle")
+    bodies, index = stardict.index_records(table(s, d, "senses"), table(s, d, "links"), None, ws)
+    base = ws.path("dictionary")
+    stardict.write_bundle(bodies, index, base, "t")
+    return resolve(s, base, read_index(s, base).select("word", "offset", "size"), "raw").select("word", "article")
+
+
 def queries():
     return {
         "p5_found": rejects.p5_found,
@@ -553,8 +647,19 @@ def queries():
         "extract_pack": extract_pack,
         "stage_stats": stage_stats,
         "clean_definitions": clean_definitions,
+        "normalized_definitions": normalized_definitions,
+        "semantic_outcomes": semantic_outcomes,
+        "semantic_senses": semantic_senses,
+        "rescued_senses": rescued_senses,
+        "marked_headwords": marked_headwords,
+        "page_filter": page_filter,
+        "lookup_probes": lookup_probes,
+        "pack_union": pack_union,
+        "bundle_roundtrip": bundle_roundtrip,
         "wiki_leads": wiki_leads,
         "passive_overrides": passive_overrides,
+        "hint_targets": lambda s, d: forms.eligible_hints(table(s, d, "form_hints"), table(s, d, "senses")),
+        "best_participles": lambda s, d: forms.best_participles(table(s, d, "links")),
         "pack_variants": lambda s, d: packs.with_variants(table(s, d, "pack_entries").where("word is not null")).select("word", "definition", "aliases"),
         "index_records": index_records,
         "star_lookup_totals": star_lookup_totals,
@@ -562,4 +667,7 @@ def queries():
 
 
 def oracle_sql():
-    return {**rejects.SQL, **SQL}
+    found = {**rejects.SQL, **SQL}
+    inner = SQL["oov_classify"]
+    found["oov_categories"] = f"with c as ({inner}) select category, count(*) as forms, cast(sum(count) as bigint) as tokens from c group by 1"
+    return found

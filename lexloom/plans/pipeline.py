@@ -5,17 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.functions import rules
-from lexloom.operators import coverage, dedupe, forms, graph
-from lexloom.runtime import Workspace
+from lexloom.functions import native
+from lexloom.operators import cleaning, coverage, dedupe, forms, graph
+from lexloom.runtime import Workspace, spread
 from lexloom.sinks import stardict
 
 
 def build_dictionary(spark: SparkSession, senses: DataFrame, links: DataFrame, hints: DataFrame, base: str, title: str) -> dict[str, int]:
     """Clean, dedupe, close aliases, derive forms, write and validate a bundle."""
     ws = Workspace(spark, "build")
-    clean = senses.where("lemma is not null").withColumn("definition", rules.text_rule("clean_definition", F.col("definition")))
-    clean = clean.where("definition <> ''").select("lemma", "definition", "source", "seq")
+    clean = cleaning.with_clean(spread(senses.where("lemma is not null").select("lemma", "definition", "source", "seq")), "definition", "text")
+    clean = native.keep_rows(clean, F.col("text") != "").select("lemma", F.col("text").alias("definition"), "source", "seq")
     store = ws.keep(dedupe.insert_or_ignore(clean, ["lemma", "definition"], ["seq"]), "senses")
     defined = graph.defined_lemmas(store)
     self_links = defined.select(F.col("lemma").alias("key"), "lemma")
@@ -23,7 +23,7 @@ def build_dictionary(spark: SparkSession, senses: DataFrame, links: DataFrame, h
     edges = ws.keep(graph.resolve_aliases(edges, defined, ws), "links")
     overrides = ws.keep(forms.derive_overrides(hints, store, edges).select("key", "definition"), "overrides")
     bodies, index = stardict.index_records(store, edges, overrides, ws)
-    return stardict.write_bundle(bodies, index, base, title) | stardict.validate(base)
+    return stardict.write_bundle(bodies, index, base, title) | stardict.validate(spark, base)
 
 
 def coverage_of(docs: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import os
 import shutil
 import tempfile
 import uuid
@@ -25,9 +26,25 @@ def session(app: str = "lexloom", cores: int | str = "*", **conf: str) -> SparkS
         b = b.config(k.replace("__", "."), v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
+    ship(s)
     return s
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, which need it for the functions that run in Python (once per application).
+
+    Not needed where the package is installed on all machines.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_lexloom_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="lexloom-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    sc.addPyFile(shutil.make_archive(f"{folder}/lexloom", "zip", os.path.dirname(here), os.path.basename(here)))
+    sc._lexloom_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables that every executor can read.
 
@@ -99,6 +116,10 @@ class Workspace:
         out._lexloom_path = path
         return out
 
+    def path(self, name: str) -> str:
+        """A path of this workspace for files that are no tables."""
+        return f"{self.root}/{name}"
+
     def drop(self, *tables: DataFrame | None) -> None:
         """Delete tables of this workspace that nothing will read again."""
         for t in tables:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.functions import rules
+from lexloom.runtime import spread
 
 SCHEMA = "kind string, a string, b string, c string, file_pos long, item_pos int"
 #: Form tags that are no word forms, and sense tags without meaning.
@@ -131,7 +132,7 @@ def _parse(lines: DataFrame, make) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(cols, kinds)], names=["kind", "a", "b", "c", "file_pos", "item_pos"]
             )
 
-    return lines.mapInArrow(run, SCHEMA)
+    return spread(lines).mapInArrow(run, SCHEMA)
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -139,8 +140,43 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.monotonically_increasing_id().alias("pos"), "value")
 
 
+#: Sense tags that leave a gloss out of a pack.
+NO_GLOSS_TAGS = frozenset(("form-of", "inflection", "no-gloss", "no definition"))
+
+
+def gloss_rows(record: dict, languages: frozenset[str]) -> list[tuple[str, str, str, None]]:
+    """Rows (``gloss``, word, text, None) of a word entry for packs: short glosses, no forms."""
+    word = rules.normalize_key(record.get("word") or "")
+    if record.get("lang_code") not in languages or not word:
+        return []
+    out = []
+    for sense in record.get("senses") or []:
+        if NO_GLOSS_TAGS & set(sense.get("tags") or ()):
+            continue
+        glosses = sense.get("glosses") or []
+        text = rules.clean_gloss(glosses if isinstance(glosses, str) else next((g for g in glosses[::-1] if isinstance(g, str)), ""))
+        if text:
+            out.append(("gloss", word, text, None))
+    return out
+
+
+def extract_glosses(spark: SparkSession, path: str, languages, most: int = 3) -> DataFrame:
+    """``(word, place, definition)``: the first ``most`` distinct glosses of each word, in dump order."""
+    from pyspark.sql import Window
+
+    langs = frozenset(languages)
+    wanted = F.col("value").rlike(rf'"lang_code":\s*"(?:{"|".join(sorted(langs))})"')
+    rows = _parse(_lines(spark, path).where(wanted), lambda r: gloss_rows(r, langs))
+    g = rows.groupBy(F.col("a").alias("word"), F.col("b").alias("definition")).agg(F.min(F.struct("file_pos", "item_pos")).alias("_o"))
+    place = F.row_number().over(Window.partitionBy("word").orderBy("_o"))
+    return g.withColumn("place", place).where(F.col("place") <= most).select("word", "place", "definition")
+
+
 def read_entries(spark: SparkSession, path: str, languages=("ru",)) -> DataFrame:
-    """Rows of a word-entry dump (plain, ``.gz`` or ``.bz2``); other languages are dropped before parsing."""
+    """Rows of a word-entry dump (plain, ``.gz`` or ``.bz2``); other languages are dropped before parsing.
+
+    A compressed file is one split, so its lines are dealt out before they are parsed.
+    """
     langs = frozenset(languages)
     wanted = F.col("value").rlike(rf'"lang_code":\s*"(?:{"|".join(sorted(langs))})"') | F.col("value").contains("hard-redirect")
     return _parse(_lines(spark, path).where(wanted), lambda r: entry_rows(r, langs))

@@ -45,3 +45,37 @@ def store_rows(entries: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     links = rows.select(F.explode(keys).alias("k"), "lemma").select(native.normalize_key(F.col("k")).alias("k"), "lemma")
     links = links.where(native.is_lookup_key(F.col("k"))).select(F.explode(native.alias_candidates(F.col("k"))).alias("key"), "lemma")
     return senses, links.distinct()
+
+
+def discover_extras(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the extra files of a folder (``.tsv``, ``.jsonl``, ``.jsonl.gz``), sorted by name."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [f.getPath().toString() for f in fs.listStatus(p) if f.isFile()]
+    return sorted(n for n in names if n.lower().endswith((".tsv", ".jsonl", ".jsonl.gz")))
+
+
+def read_extra(spark: SparkSession, path: str) -> DataFrame:
+    """``(lemma, definition, aliases, source, place)`` of an extra file, in file order; bad lines are left out."""
+    name = path.rsplit("/", 1)[-1]
+    if name.lower().endswith(".tsv"):
+        rows = read_pack(spark, path).where("reason is null").select("word", "definition", "aliases", F.struct(F.col("line_id").alias("a"), F.lit(0).alias("b")).alias("place"))
+    else:
+        rows = read_extra_json(spark, path).select("word", "definition", "aliases", F.struct(F.col("pos").alias("a"), F.col("i").alias("b")).alias("place"))
+    return rows.select(F.col("word").alias("lemma"), "definition", "aliases", F.lit(f"extra:{name}").alias("source"), "place")
+
+
+def import_extra(store, path: str):
+    """Append an extra file to a store. Aliases of a tab-separated line count only if its sense is new; others always."""
+    from lexloom.operators import layers
+
+    spark = store.senses.sparkSession
+    rows = read_extra(spark, path)
+    out, fresh = layers.add_senses(store, rows)
+    named = rows.select(native.normalize_key(F.col("lemma")).alias("lemma"), "aliases")
+    if path.lower().endswith(".tsv"):
+        named = named.join(fresh.select("lemma").distinct(), "lemma", "left_semi")
+    keys = named.select("lemma", F.explode(F.concat(F.array("lemma"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("key"))
+    return layers.add_links(out, keys)

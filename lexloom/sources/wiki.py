@@ -21,15 +21,21 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("title", "ns", F.col("redirect._title").alias("redirect"), F.col("revision.text._VALUE").alias("text"))
 
 
-def prepare_candidates(pages: DataFrame, longest: int = 65536) -> DataFrame:
+def prepare_candidates(pages: DataFrame, longest: int = 65536, domain_only: bool = False) -> DataFrame:
     """``(title, categories, lead)`` of articles that have text; redirects are left out.
 
+    ``domain_only`` keeps pages with a subject category.
+
     The lead ends at the first heading. Of repeated titles the greatest lead is taken, so
     the result does not depend on the number of partitions.
     """
     cats = F.regexp_extract_all("text", F.lit(r"(?iu)\[\[\s*(?:категория|category)\s*:\s*([^\]|]+)"), F.lit(1))
     lead = F.substring(F.split("text", r"(?m)^={2,}", 2)[0], 1, longest)
     rows = pages.where("ns = 0 and redirect is null and text is not null").select("title", F.array_join(cats, "\n").alias("categories"), lead.alias("lead"))
+    if domain_only:
+        from lexloom.operators.layers import page_tests
+
+        rows = native.keep_rows(rows, page_tests(F.col("title"), F.col("categories"))["domain"])
     return rows.groupBy("title").agg(F.max(F.struct("lead", "categories")).alias("r")).select("title", "r.categories", "r.lead")
 
 

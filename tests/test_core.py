@@ -181,7 +181,8 @@ def test_bundle_round_trip(spark, tmp_path):
     base = str(tmp_path / "d")
     stats = pipeline.build_dictionary(spark, senses, links, hints, base, "t")
     assert stats["wordcount"] == 3 and stats["articles"] == 3
-    entries, _ = read_bundle(spark, base)
+    entries, synonyms = read_bundle(spark, base)
+    assert synonyms.count() == 0
     got = {r.word: r.article for r in entries.collect()}
     assert got == {"дом": "1. Здание\n2. Жильё", "лес": "Роща", "дома": "1. Здание\n2. Жильё\nРоща"}
     assert stardict.parse_synonyms(b"a\0\0\0\0\1b\0\0") == [("a", 1)]
