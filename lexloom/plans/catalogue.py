@@ -377,6 +377,12 @@ SQL = {
         ['ignore_numeric', 'ignore_typographic_variant', 'review_abbreviation_pack', 'review_abbreviation_pack', 'review_separate_language_layer', 'review_literary_name_layer', 'review_lexicographic_entry'][k] as action,
         k > 2 as candidate, ['roman_numeral', 'stylised_spelling', 'capitals', 'closed_list', 'script', 'capitalised_in_all_places', 'no_match'][k] as reason,
         ['high', 'high', 'high', 'medium', 'high', 'possible', 'possible'][k] as confidence, case when k = 1 then 'roman:' || cast(cast(roman as bigint) as varchar) else normalized end as candidate_key from s2""",
+    "index_records": _ARTICLES.replace("with d as", f"with {_E}, d as") + """, g as (select key, list(lemma order by lemma) as ls from edges where lemma in (select lemma from art) group by key),
+      j as (select ls, array_to_string(ls, chr(0)) as name, unnest(ls) as lemma from (select distinct ls from g where len(ls) > 1)),
+      b as (select 0 as c, lemma as name, strlen(article) as size from art union all
+        select 2, name, sum(strlen(article)) + count(*) - 1 from j join art using (lemma) group by name),
+      o as (select *, sum(size) over (order by c, name) - size as off from b)
+      select key, cast(off as bigint) as "offset", cast(size as bigint) as size from g join o on o.c = if(len(ls) > 1, 2, 0) and o.name = array_to_string(ls, chr(0)) where strlen(key) <= 255""",
     "page_filter": f"""with p as (select distinct title, categories, string_split(coalesce(categories, ''), chr(10)) as cs from candidates where title is not null)
       select title, length(title) > 140 or contains(title, ':') or regexp_matches(title, {_q('(?i)' + W.BAD_TITLE)}) or regexp_matches(title, {_q('(?i)' + W.BAD_QUALIFIER)}) as bad_title,
         len(list_filter(cs, lambda c: regexp_matches(c, {_q('(?i)' + W.DOMAIN)}))) > 0 as domain, len(list_filter(cs, lambda c: regexp_matches(c, {_q('(?i)' + W.NOISE)}))) > 0 as noise from p""",
@@ -670,4 +676,11 @@ def oracle_sql():
     found = {**rejects.SQL, **SQL}
     inner = SQL["oov_classify"]
     found["oov_categories"] = f"with c as ({inner}) select category, count(*) as forms, cast(sum(count) as bigint) as tokens from c group by 1"
+    found["oov_groups"] = f"""with c as ({inner}), pd as ({_C} select doc, normalized, cast(greatest(n - covered, 0) as bigint) as u from counts where not single_known and n > covered),
+      w as (select sum(count) as whole from c),
+      g as (select category, action, candidate_key, sum(count) as t, string_agg(normalized || ':' || count, ' ' order by count desc, normalized) as forms from c group by all),
+      f as (select category, action, candidate_key, doc, sum(u) as n from pd join c using (normalized) group by all),
+      fs as (select category, action, candidate_key, string_agg(doc || ':' || n, ' ' order by n desc, doc) as files from f group by all)
+      select category, action, candidate_key, cast(t as bigint) as total, forms, round(100 * t / whole, 4) as share_percent, files,
+        row_number() over (order by t desc, candidate_key, category, action) as rank from g left join fs using (category, action, candidate_key), w"""
     return found
