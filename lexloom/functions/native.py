@@ -167,7 +167,7 @@ def is_lookup_key(key: Column) -> Column:
 
 def normalize_lookup(c: Column, composed: bool = False) -> Column:
     """Form in which coverage compares words: all dashes, case and ё folded."""
-    return F.translate(casefold(collapse(_fold_signs(c if composed else nfc(c), LOOKUP_DASHES))), "ё", "е")
+    return F.replace(casefold(collapse(_fold_signs(c if composed else nfc(c), LOOKUP_DASHES))), F.lit("ё"), F.lit("е"))
 
 
 def strip_stress(c: Column) -> Column:

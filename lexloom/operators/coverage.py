@@ -25,7 +25,7 @@ def token_rows(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
 
 def folded(token: Column) -> Column:
     """Lookup form of a token: it has letters and digits only, so nothing but case and ё can change."""
-    return F.translate(native.casefold(token), "ё", "е")
+    return F.replace(native.casefold(token), F.lit("ё"), F.lit("е"))
 
 
 def folded_tokens(text: Column) -> Column:
@@ -45,7 +45,7 @@ def known_keys(keys: DataFrame, column: str) -> DataFrame:
 
 
 #: Cells of the filter of phrase beginnings: so many per phrase, within these bounds.
-CELLS_PER_PHRASE, LEAST_CELLS, MOST_CELLS = 8, 1 << 16, 1 << 23
+CELLS_PER_PHRASE, LEAST_CELLS, MOST_CELLS = 64, 1 << 16, 1 << 23
 
 
 def phrase_filter(keys: DataFrame) -> DataFrame:
