@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import cleanup_patterns as C
 from lexloom.functions import native
+from lexloom.operators import about as about_phrases
 from lexloom.operators import aliases, cleaning, normalize, quality
 from lexloom.runtime import Workspace, spread
 
@@ -86,6 +87,9 @@ def semantic_pass(store: Store, workspace: Workspace) -> PassResult:
     lemmas = senses.select("lemma").distinct()
     picked = spread(quality.semantic_candidates(senses).select("seq", "lemma", "definition", "source"))
     norm = workspace.keep(normalize.normalize(picked), "normalized")
+    phrases = workspace.keep(about_phrases.rewrite(norm.where("source like 'wiktionary%'"), links, lemmas), "phrases")
+    changes = F.when(F.col("rewritten").isNotNull(), F.array_distinct(F.array_append("changes", F.lit("about_fragment_rewritten")))).otherwise(F.col("changes"))
+    norm = norm.join(phrases, "seq", "left").select("seq", "lemma", "definition", "source", F.coalesce("rewritten", "text").alias("text"), changes.alias("changes"))
 
     src = F.coalesce("source", F.lit(""))
     shown = F.coalesce(F.nullif("text", F.lit("")), "definition")
@@ -180,9 +184,10 @@ def upgrade(store: Store, candidates: DataFrame, workspace: Workspace, source: s
     pairs = workspace.keep(pairs.select("old_seq", "lemma", "definition", "old", "old_source"), "pairs")
     old = pairs.select(F.col("old_seq").alias("seq"), "lemma", F.col("old").alias("definition"), F.col("old_source").alias("source")).distinct()
     old = quality.score(quality.with_flags(old)).select(F.col("seq").alias("old_seq"), F.col("score").alias("old_score"), "flags")
-    weak = native.keep_rows(old, F.arrays_overlap("flags", F.array(*map(F.lit, REPLACEABLE)))).drop("flags")
+    # scores are written before they are joined: the optimizer would carry all tests through the joins
+    weak = workspace.keep(native.keep_rows(old, F.arrays_overlap("flags", F.array(*map(F.lit, REPLACEABLE)))).drop("flags"), "weak")
     new = quality.score(quality.with_flags(pairs.select(F.col("old_seq").alias("seq"), "lemma", "definition", F.lit(source).alias("source"))))
-    new = new.select(F.col("seq").alias("old_seq"), F.col("text").alias("definition"), "score")
+    new = workspace.keep(new.select(F.col("seq").alias("old_seq"), F.col("text").alias("definition"), "score"), "scored")
     better = new.join(weak, "old_seq").where("score >= old_score + 12 and score >= 78")
     best = better.groupBy(F.col("old_seq").alias("seq")).agg(F.max_by("definition", F.struct("score", "definition")).alias("_new"))
     best = workspace.keep(best, "upgrades")
@@ -202,12 +207,13 @@ def rescue(store: Store, wanted: DataFrame, pages: DataFrame, workspace: Workspa
     exact = pages.join(wanted, F.col("title") == F.col("target"))
     base = pages.join(wanted, F.col("base_title") == F.col("target")).join(wanted.select(F.col("target").alias("_t")), F.col("title") == F.col("_t"), "left_anti")
     rows = exact.unionByName(base).select(F.xxhash64("title", "target").alias("seq"), F.col("title").alias("lemma"), "definition", F.lit("ruwiki-quality").alias("source"), "target")
+    rows = workspace.keep(rows, "matches")
     norm = workspace.keep(native.keep_rows(normalize.normalize(spread(rows)), F.col("text") != ""), "candidates")
     keys = norm.select("seq", F.lit("").alias("lemma"), F.col("target").alias("k"))
     lemmas = store.senses.where("definition is not null and lemma is not null").select("lemma").distinct()
     known = aliases.lookup(keys, store.links, lemmas).select("seq").distinct()
     upgraded, _ = upgrade(store, norm.join(known, "seq", "left_semi").select(F.col("target").alias("key"), F.col("text").alias("definition")), workspace)
-    fresh = norm.join(known, "seq", "left_anti").where("lemma = target")
+    fresh = workspace.keep(norm.join(known, "seq", "left_anti").where("lemma = target"), "fresh")
     scored = quality.score(quality.with_flags(fresh.select("seq", F.col("target").alias("lemma"), F.col("text").alias("definition"), F.lit("ruwiki-rescue").alias("source"))))
     bad = F.array(*map(F.lit, ("grammar_residue", "markup_residue", "placeholder_definition", "fragment")))
     good = native.keep_rows(scored, (F.col("score") >= 70) & ~F.arrays_overlap("flags", bad))

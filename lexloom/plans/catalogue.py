@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexloom.functions import native
 from lexloom.functions import patterns as P
 from lexloom.functions import wiki_patterns as W
-from lexloom.operators import aliases, articles, cleaning, coverage, dedupe, forms, graph, layers, normalize, quality, semantic
+from lexloom.operators import about, aliases, articles, cleaning, coverage, dedupe, forms, graph, layers, leaks, normalize, quality, semantic
 from lexloom.runtime import Workspace, spread
 from lexloom.sources import packs, rejects, wiki
 from lexloom.sources.tables import table
@@ -383,6 +383,14 @@ SQL = {
         select 2, name, sum(strlen(article)) + count(*) - 1 from j join art using (lemma) group by name),
       o as (select *, sum(size) over (order by c, name) - size as off from b)
       select key, cast(off as bigint) as "offset", cast(size as bigint) as size from g join o on o.c = if(len(ls) > 1, 2, 0) and o.name = array_to_string(ls, chr(0)) where strlen(key) <= 255""",
+    "leaked_meanings": _ARTICLES + f""", l as (select lemma, unnest(string_split(article, chr(10))) as line from art),
+      m as (select lemma, {_sql_trim("regexp_replace(regexp_replace(line, chr(13) || '$', ''), '^" + chr(92) + "s*" + chr(92) + "d+" + chr(92) + "." + chr(92) + "s*', '')")} as line from l),
+      x as (select lemma, line, list_filter([case when {_sql_like('line', leaks.RESIDUE)} then 'residue' end,
+        case when regexp_matches(line, {_q('(?i)</(?:' + P.HTML_NAMES + ')' + chr(92) + 's*>|<(?:br|hr)(?:[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}_<>][^<>]*)?>|<(?:' + P.HTML_NAMES + ')' + chr(92) + 's+[^<>]*>')}) then 'html' end,
+        case when {_sql_like('line', leaks.LABEL)} then 'label' end, case when {_sql_like('line', leaks.CONTEXT)} then 'context' end,
+        case when {_sql_like('line', P.EMPTY_META)} or {_sql_like('line', leaks.FRAGMENT)} then 'placeholder' end,
+        case when {_sql_like('line', P.FORM_OF[0])} or {_sql_like('line', P.GRAMMAR)} then 'grammar' end], lambda f: f is not null) as fs from m where line <> '')
+      select lemma, line, unnest(fs) as fault from x""",
     "page_filter": f"""with p as (select distinct title, categories, string_split(coalesce(categories, ''), chr(10)) as cs from candidates where title is not null)
       select title, length(title) > 140 or contains(title, ':') or regexp_matches(title, {_q('(?i)' + W.BAD_TITLE)}) or regexp_matches(title, {_q('(?i)' + W.BAD_QUALIFIER)}) as bad_title,
         len(list_filter(cs, lambda c: regexp_matches(c, {_q('(?i)' + W.DOMAIN)}))) > 0 as domain, len(list_filter(cs, lambda c: regexp_matches(c, {_q('(?i)' + W.NOISE)}))) > 0 as noise from p""",
@@ -594,6 +602,18 @@ def pack_union(s, d):
     return fresh.select("lemma", "definition")
 
 
+def leaked_meanings(s, d):
+    """Lines of articles that are no meaning, with what gives them away."""
+    art = articles.build_articles(table(s, d, "senses"))
+    return leaks.leaked_lines(Workspace(s, "leaks").keep(art, "articles"))
+
+
+def about_phrases(s, d):
+    """Definitions ``О X`` that the link graph can rewrite."""
+    t = table(s, d, "senses").where("lemma is not null and definition is not null")
+    return about.rewrite(t.select("seq", F.col("definition").alias("text")), _links(s, d), t.select("lemma").distinct())
+
+
 def bundle_roundtrip(s, d):
     """Keys and articles of a bundle that was written from the store and read back."""
     from lexloom.sinks import stardict
@@ -662,6 +682,8 @@ def queries():
         "lookup_probes": lookup_probes,
         "pack_union": pack_union,
         "bundle_roundtrip": bundle_roundtrip,
+        "leaked_meanings": leaked_meanings,
+        "about_phrases": about_phrases,
         "wiki_leads": wiki_leads,
         "passive_overrides": passive_overrides,
         "hint_targets": lambda s, d: forms.eligible_hints(table(s, d, "form_hints"), table(s, d, "senses")),

@@ -12,7 +12,7 @@ import struct
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.operators import articles, graph
+from lexloom.operators import articles, graph, leaks
 from lexloom.runtime import Workspace
 
 MAX_KEY_BYTES = 255
@@ -156,8 +156,10 @@ def parse_synonyms(data: bytes | None) -> list[tuple[str, int]]:
     return out
 
 
-def validate(spark: SparkSession, base: str) -> dict[str, int]:
-    """Check counts, sizes, byte order, pointer ranges and meanings of a bundle; the first fault is an error.
+def validate(spark: SparkSession, base: str, strict: bool = False) -> dict[str, int]:
+    """Check counts, sizes, byte order and pointer ranges of a bundle; the first fault is an error.
+
+    ``strict`` also reads each article once and rejects lines that are no meaning.
 
     Keys and articles are read as DataFrames; order and ranges are checked by the executors.
     """
@@ -179,7 +181,12 @@ def validate(spark: SparkSession, base: str) -> dict[str, int]:
         raise ValueError("wordcount differs from the index")
     if int(info["idxfilesize"]) != file_size(spark, f"{base}.idx"):
         raise ValueError("idxfilesize differs from the index")
-    empty = resolve(spark, base, index.select("offset", "size").distinct()).where(F.trim("article") == "").count()
+    texts = resolve(spark, base, index.select("offset", "size").distinct(), "raw")
+    empty = texts.where(F.trim("article") == "").count()
     if empty:
         raise ValueError(f"{empty} articles are empty")
+    if strict:
+        fault = leaks.leaked_lines(texts, "offset").first()
+        if fault is not None:
+            raise ValueError(f"the article at {fault['offset']} shows no meaning ({fault['fault']}): {fault['line']!r}")
     return {"keys": c["n"], "articles": c["a"]}

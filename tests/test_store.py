@@ -100,3 +100,26 @@ def test_pages(spark):
     p = spark.createDataFrame([("Оптика (наука)", "Оптика", "Раздел науки о свете."), ("дом", "дом", "Иное здание.")], "title string, base_title string, definition string")
     out = layers.import_pages(s, p, Workspace(spark, "t"))
     assert texts(out) == [("Оптика (наука)", "Раздел науки о свете."), ("дом", "Здание для жилья.")] and ("Оптика", "Оптика (наука)") in pairs(out)
+
+
+def test_about_phrases(spark):
+    from lexloom.operators import about
+
+    words = [("секс", ""), ("СССР", ""), ("мужской", ""), ("половой", ""), ("член", ""), ("низший", ""), ("слой", ""), ("население", ""), ("человек", ""), ("новая", ""), ("новый", ""), ("книга", "")]
+    s = store(
+        spark, [(w, "Толкование слова.", "wiktionary:ru") for w, _ in words],
+        [("сексе", "секс"), ("мужском", "мужской"), ("половом", "половой"), ("члене", "член"), ("низших", "низший"), ("слоях", "слой"), ("населения", "население"), ("человеке", "человек"), ("новой", "новый"), ("книге", "книга")],
+    )
+    rows = ["О сексе в СССР", "О мужском половом члене", "О низших слоях населения", "О деятельном, неутомимом человеке", "О новой книге", "О неведомом человеке", "текст", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "seq int, text string")
+    lemmas = s.senses.select("lemma").distinct()
+    got = {r.seq: r.rewritten for r in about.rewrite(df, s.links, lemmas).collect()}
+    assert got == {0: "Секс в СССР", 1: "Мужской половой член"}  # an ending -ой may be a noun's
+
+
+def test_leaked_lines(spark):
+    from lexloom.operators import leaks
+
+    rows = [("a", "1. Здание.\n2. мат. функция"), ("b", "Пишется <и> — <э>"), ("c", "<b>x</b>"), ("d", "Прич. от расшить"), ("e", "Гора в"), ("f", "(в физике) сила"), ("g", "x ◆ y"), ("h", None), ("i", "")]
+    got = leaks.leaked_lines(spark.createDataFrame(rows, "lemma string, article string")).collect()
+    assert sorted((r.lemma, r.fault) for r in got) == [("a", "label"), ("c", "html"), ("d", "grammar"), ("e", "placeholder"), ("f", "context"), ("g", "residue")]
