@@ -435,7 +435,7 @@ def normalize_key(s, d):
 
 
 def alias_expand(s, d):
-    raw = spread(table(s, d, "links").where("key is not null").select("key").distinct())
+    raw = spread(table(s, d, "links").where("key is not null").select("key")).distinct()
     k = raw.select(native.normalize_key(F.col("key")).alias("key")).distinct()
     return k.where(native.is_lookup_key(F.col("key"))).select("key", F.explode(native.alias_candidates(F.col("key"))).alias("alias"))
 

@@ -52,3 +52,43 @@ class StageCache:
             one = self.spark.createDataFrame([(sig,)], "signature string")
             one.coalesce(1).write.mode("overwrite").json(f"{self.root}/{name}/signature")
         return self.spark.read.parquet(path)
+
+
+class Artifacts:
+    """Finished outputs (folders) kept under a signature, to be restored instead of built."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _path(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _copy(self, source: str, target: str) -> None:
+        (a, fa), (b, fb) = self._path(source), self._path(target)
+        fb.delete(b, True)
+        self.spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(fa, a, fb, b, False, True, self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def save(self, name: str, sig: str, folder: str) -> None:
+        """Keep a copy; it counts only once its marker is written, which is last."""
+        at = f"{self.root}/{name}/{sig}"
+        self._copy(folder, f"{at}/files")
+        marker, fs = self._path(f"{at}/complete")
+        fs.create(marker, True).close()
+
+    def restore(self, name: str, sig: str, folder: str) -> bool:
+        """Copy what was kept under the signature to ``folder``; False if there is nothing complete."""
+        at = f"{self.root}/{name}/{sig}"
+        marker, fs = self._path(f"{at}/complete")
+        if not fs.exists(marker):
+            return False
+        self._copy(f"{at}/files", folder)
+        return True
+
+    def restore_latest(self, name: str, folder: str) -> str | None:
+        """Restore the newest complete output of a name; returns its signature."""
+        top, fs = self._path(f"{self.root}/{name}")
+        if not fs.exists(top):
+            return None
+        kept = [(f.getModificationTime(), f.getPath().getName()) for f in fs.listStatus(top) if f.isDirectory()]
+        return next((sig for _, sig in sorted(kept, reverse=True) if self.restore(name, sig, folder)), None)

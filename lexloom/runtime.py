@@ -142,7 +142,10 @@ def spread(df: DataFrame) -> DataFrame:
 
     A scan with fewer splits than the session has cores (few or small files) is dealt out
     anew; a scan with enough splits stays as it is, so large inputs are never shuffled here.
-    Select the columns that are needed before.
+    Select the columns that are needed before. What comes out of a shuffle stays too: its
+    partitions are chosen while it runs.
     """
+    if df._jdf.queryExecution().executedPlan().getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if input_partitions(df) >= cores else df.repartition(cores)

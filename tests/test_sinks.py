@@ -86,3 +86,36 @@ def test_extract_glosses(spark, tmp_path):
 def test_a_line_on_its_own():
     for line in ('"a', 'a\t"b', '"a"b\tc', "a", "a\tb", 'a\t"b""c"'):
         assert list(rejects.parse_lines([(7, line)])) == [7]
+
+
+def test_artifacts(spark, tmp_path):
+    from lexloom.plans.stages import Artifacts
+
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out/a.txt").write_text("1")
+    kept = Artifacts(spark, f"file://{tmp_path}/kept")
+    assert not kept.restore("x", "s", f"file://{tmp_path}/back") and kept.restore_latest("x", f"file://{tmp_path}/back") is None
+    kept.save("x", "s", f"file://{tmp_path}/out")
+    assert kept.restore("x", "s", f"file://{tmp_path}/back") and (tmp_path / "back/a.txt").read_text() == "1"
+    assert kept.restore_latest("x", f"file://{tmp_path}/again") == "s" and not kept.restore("x", "other", f"file://{tmp_path}/back")
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    from lexloom import __main__ as cli
+
+    monkeypatch.setattr(cli, "session", lambda: spark)
+    d = f"file://{tmp_path}/d"
+    spark.createDataFrame([("дом", "Дом — жилое здание", "wiktionary:ru", 1), ("хата", "То же, что дом", "wiktionary:ru", 2)], SENSES).write.parquet(f"{d}/senses.parquet")
+    spark.createDataFrame([("дома", "дом")], "key string, lemma string").write.parquet(f"{d}/links.parquet")
+    spark.createDataFrame([], "key string, target string, kind string").write.parquet(f"{d}/form_hints.parquet")
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x/t.tsv").write_text("лес\tРоща\tбор\n", encoding="utf-8")
+    assert cli.main(["build", d, f"file://{tmp_path}/b", "--extras", f"file://{tmp_path}/x", "--strict"]) == 0
+    assert {(r.word, r.article) for r in read_bundle(spark, f"file://{tmp_path}/b")[0].collect()} == {
+        ("дом", "Жилое здание"), ("дома", "Жилое здание"), ("хата", "Жилое здание"), ("лес", "Роща"), ("бор", "Роща")
+    }
+    (tmp_path / "book.txt").write_text("дом лес река река", encoding="utf-8")
+    assert cli.main(["coverage", f"file://{tmp_path}/book.txt", f"file://{tmp_path}/b.ifo"]) == 0
+    assert '"unknown_tokens": 2' in capsys.readouterr().out
+    assert cli.main(["review", f"file://{tmp_path}/book.txt", f"file://{tmp_path}/b.ifo", "--out", f"file://{tmp_path}/review"]) == 0
+    assert [r.candidate_key for r in spark.read.option("sep", "\t").option("header", True).csv(f"file://{tmp_path}/review").collect()] == ["река"]
