@@ -247,13 +247,16 @@ def _members(sides: DataFrame, attempt: int, workspace: Workspace, edges_per_par
     # fold each input split first: repeats and local chains never reach the network
     folded = pairs.mapInArrow(_local_union_find(0, keep_roots=False, whole=False), "a long, b long")
     parents, tables = settle(workspace.keep(folded, "edges"), workspace, edges_per_partition)
+    # one table in place of those of the rounds, before the words are shuffled
+    parents = workspace.keep(parents, "parents")
+    workspace.drop(*tables)
     words = sides.select(F.explode(F.array("x", "y")).alias("word")).select(number("word").alias("id"), "word")
     named = words.groupBy("id").agg(F.min("word").alias("word"), F.max("word").alias("_last"))
     members = named.join(parents, F.col("id") == F.col("v"), "left").select(
         "word", F.coalesce("parent", "id").alias("root"), (F.col("word") != F.col("_last")).alias("clash")
     )
     kept = workspace.keep(members, "members")
-    workspace.drop(*tables)
+    workspace.drop(parents)
     return kept
 
 
