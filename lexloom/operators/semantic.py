@@ -203,6 +203,7 @@ def rescue(store: Store, wanted: DataFrame, pages: DataFrame, workspace: Workspa
     A defined word may be upgraded by a page of its title or base title; an undefined one gets
     a sense only from a page of exactly its title whose text scores 70 or more.
     """
+    pages = workspace.keep(pages.select("title", "base_title", "definition"), "pages")  # read twice, and joined
     wanted = wanted.select(F.col("lemma").alias("target")).distinct()
     exact = pages.join(wanted, F.col("title") == F.col("target"))
     base = pages.join(wanted, F.col("base_title") == F.col("target")).join(wanted.select(F.col("target").alias("_t")), F.col("title") == F.col("_t"), "left_anti")

@@ -537,9 +537,16 @@ def clean_definitions(s, d):
     return cleaning.with_clean(t, "definition", "clean").select("seq", "clean")
 
 
+def _pages(s, d):
+    """Prepared pages, one row per title: of repeated deliveries the one with the greatest lead."""
+    p = table(s, d, "candidates").where("title is not null")
+    best = F.max_by(F.struct("categories", "lead_z"), F.struct("lead_z", "categories")).alias("r")
+    return p.groupBy("title").agg(best).select("title", "r.categories", "r.lead_z")
+
+
 def wiki_leads(s, d):
-    pages = table(s, d, "candidates").where("title is not null")
-    return wiki.lead_definitions(pages.select("title", wiki.inflate(F.col("lead_z")).alias("lead")).distinct())
+    pages = _pages(s, d)
+    return wiki.lead_definitions(pages.select("title", wiki.inflate(F.col("lead_z")).alias("lead")))
 
 
 def passive_overrides(s, d):
@@ -574,7 +581,7 @@ def semantic_senses(s, d):
 def rescued_senses(s, d):
     ws = Workspace(s, "rescue")
     done = semantic.semantic_pass(_store(s, d), ws)
-    pages = table(s, d, "candidates").where("title is not null").select("title", "categories", wiki.inflate(F.col("lead_z")).alias("lead")).distinct()
+    pages = _pages(s, d).select("title", "categories", wiki.inflate(F.col("lead_z")).alias("lead"))
     out = semantic.rescue(done.store, done.rescue, layers.page_definitions(pages, need_domain=False), ws)
     return out.senses.where("source in ('ruwiki-quality', 'ruwiki-rescue')").select("lemma", "definition", "source")
 
